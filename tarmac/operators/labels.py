@@ -26,7 +26,7 @@ def broadcast_if_small(lookup: DataFrame) -> DataFrame:
     return F.broadcast(lookup) if small else lookup
 
 
-def _attach(df: DataFrame, code: Column, lookup: DataFrame, label: str) -> DataFrame:
+def attach_label(df: DataFrame, code: Column, lookup: DataFrame, label: str) -> DataFrame:
     """Left join on the code as text: a code without a label keeps its row."""
     key, text = lookup.columns
     side = lookup.select(F.col(key).alias("_code"), F.col(text).alias(label))
@@ -44,14 +44,14 @@ def with_labels(
     carriers, cancellations, markets = map(
         broadcast_if_small, (carriers, cancellations, markets)
     )
-    labelled = _attach(flights, F.col("carrier_code"), carriers, "carrier_name")
-    labelled = _attach(
+    labelled = attach_label(flights, F.col("carrier_code"), carriers, "carrier_name")
+    labelled = attach_label(
         labelled, F.col("cancellation_code"), cancellations, "cancellation_reason"
     )
-    labelled = _attach(
+    labelled = attach_label(
         labelled, F.col("origin_city_market_id"), markets, "origin_city_market_name"
     )
-    return _attach(
+    return attach_label(
         labelled,
         F.col("destination_city_market_id"),
         markets,
@@ -62,7 +62,7 @@ def with_labels(
 def with_delay_bands(raw: DataFrame, groups: DataFrame) -> DataFrame:
     """Departure and arrival delay band labels on raw rows."""
     groups = broadcast_if_small(groups)
-    labelled = _attach(
+    labelled = attach_label(
         raw, F.col("DepartureDelayGroups"), groups, "departure_delay_band"
     )
-    return _attach(labelled, F.col("ArrivalDelayGroups"), groups, "arrival_delay_band")
+    return attach_label(labelled, F.col("ArrivalDelayGroups"), groups, "arrival_delay_band")

@@ -7,6 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tarmac.operators.labels import attach_label, broadcast_if_small
 from tarmac.operators.staging import OUTCOMES
 
 CAUSES = ("carrier", "weather", "nas", "security", "late_aircraft")
@@ -32,3 +33,22 @@ def delay_causes(flights: DataFrame, keys: Sequence[str]) -> DataFrame:
     return flights.groupBy(*keys).agg(
         *[F.sum(f"{c}_delay_minutes").alias(f"{c}_delay_minutes") for c in CAUSES]
     )
+
+
+def delay_by_carrier(flights: DataFrame, carriers: DataFrame) -> DataFrame:
+    """``delay_by`` per carrier with its name, labelled after the aggregation."""
+    rows = delay_by(flights, ["carrier_code"])
+    return attach_label(
+        rows, F.col("carrier_code"), broadcast_if_small(carriers), "carrier_name"
+    )
+
+
+def delay_by_market(flights: DataFrame, markets: DataFrame) -> DataFrame:
+    """``delay_by`` per origin metro market with its name."""
+    rows = delay_by(flights, ["origin_city_market_id"])
+    return attach_label(
+        rows,
+        F.col("origin_city_market_id"),
+        broadcast_if_small(markets),
+        "origin_city_market_name",
+    )
