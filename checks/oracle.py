@@ -153,12 +153,12 @@ def _per_column(parts: str) -> str:
 def _summary(source: str, names: list[str]) -> str:
     return "\n union all ".join(
         f"""select '{n}' as "column", count({n}) as "count",
- round(avg(cast({n} as double)), 6) as mean, round(stddev_samp(cast({n} as double)), 6) as std,
- round(min(cast({n} as double)), 6) as "min",
- round(quantile_cont(cast({n} as double), 0.25), 6) as p25,
- round(quantile_cont(cast({n} as double), 0.5), 6) as p50,
- round(quantile_cont(cast({n} as double), 0.75), 6) as p75,
- round(max(cast({n} as double)), 6) as "max" from {source}"""
+ round(avg(cast({n} as double)), 7) as mean, round(stddev_samp(cast({n} as double)), 7) as std,
+ round(min(cast({n} as double)), 7) as "min",
+ round(quantile_cont(cast({n} as double), 0.25), 7) as p25,
+ round(quantile_cont(cast({n} as double), 0.5), 7) as p50,
+ round(quantile_cont(cast({n} as double), 0.75), 7) as p75,
+ round(max(cast({n} as double)), 7) as "max" from {source}"""
         for n in names
     )
 

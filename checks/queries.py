@@ -280,7 +280,7 @@ def column_info(t: Tables) -> DataFrame:
 
 def _rounded(summary: DataFrame) -> DataFrame:
     measures = [c for c in summary.columns if c not in ("column", "count")]
-    return summary.withColumns({c: F.round(c, 6) for c in measures})
+    return summary.withColumns({c: F.round(c, 7) for c in measures})
 
 
 @query

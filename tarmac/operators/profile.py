@@ -10,10 +10,6 @@ from tarmac.functions.rates import percent
 from tarmac.session import ensure_checkpoint_dir
 
 
-def _quoted(name: str) -> Column:
-    return F.col(f"`{name}`")
-
-
 def shape(df: DataFrame) -> DataFrame:
     """``(rows, cols)``."""
     return df.agg(F.count("*").alias("rows")).withColumn(
@@ -29,15 +25,12 @@ def column_names(df: DataFrame) -> DataFrame:
 
 def _column_counts(df: DataFrame) -> DataFrame:
     """``(column, type, non_null, rows)`` from one aggregate over all columns."""
-    counts = [F.count(_quoted(c)).alias(f"c{i}") for i, c in enumerate(df.columns)]
-    cells = [
-        cell
-        for i, (name, dtype) in enumerate(df.dtypes)
-        for cell in (F.lit(name), F.lit(dtype), F.col(f"c{i}"))
-    ]
-    return df.agg(F.count("*").alias("rows"), *counts).select(
-        F.stack(F.lit(len(df.columns)), *cells).alias("column", "type", "non_null"), "rows"
+    counts = [F.expr(f"count(`{c}`) as c{i}") for i, c in enumerate(df.columns)]
+    cells = ", ".join(
+        f"'{name}', '{dtype}', c{i}" for i, (name, dtype) in enumerate(df.dtypes)
     )
+    long_form = f"stack({len(df.columns)}, {cells}) as (column, type, non_null)"
+    return df.agg(F.count("*").alias("rows"), *counts).selectExpr(long_form, "rows")
 
 
 def null_profile(df: DataFrame) -> DataFrame:
@@ -69,7 +62,7 @@ QUANTILES = {"p25": 0.25, "p50": 0.5, "p75": 0.75}
 
 def _long_values(df: DataFrame, names: list[str]) -> DataFrame:
     """``(pos, value)`` of every present number; NaN counts as missing."""
-    cells = F.array(*[_quoted(n).cast("double") for n in names])
+    cells = F.expr("array(" + ", ".join(f"cast(`{n}` as double)" for n in names) + ")")
     return df.select(F.posexplode(cells).alias("pos", "value")).filter(
         F.col("value").isNotNull() & ~F.isnan("value")
     )

@@ -23,7 +23,11 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
 
 
 def local_session(cores: str | int = "*", name: str = "tarmac", **extra: str) -> SparkSession:
-    """A session for tests and benchmarks on one machine."""
+    """A session for tests and benchmarks on one machine.
+
+    The generated code of wide rows is kept below the size the JVM compiles;
+    that setting is worth having on a cluster too.
+    """
     partitions = "8" if cores == "*" else str(cores)
     builder = (
         SparkSession.builder.master(f"local[{cores}]")
@@ -31,7 +35,10 @@ def local_session(cores: str | int = "*", name: str = "tarmac", **extra: str) ->
         .config("spark.sql.shuffle.partitions", partitions)
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.sql.adaptive.enabled", "true")
+        .config("spark.sql.codegen.hugeMethodLimit", "8000")
+        .config("spark.python.sql.dataFrameDebugging.enabled", "false")
         .config("spark.ui.enabled", "false")
+        .config("spark.ui.showConsoleProgress", "false")
     )
     for key, value in extra.items():
         builder = builder.config(key, value)

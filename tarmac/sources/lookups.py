@@ -21,9 +21,7 @@ def read_lookup_csv(
     ``na_tokens=("",)`` keeps codes that are really spelled ``NA``.
     """
     text = spark.read.options(header=True, multiLine=True, **CSV_QUOTING).csv(path)
-    return text.select(
-        *[missing_to_null(F.col(f"`{c}`"), na_tokens).alias(c) for c in text.columns]
-    )
+    return text.select(*[missing_to_null(c, na_tokens) for c in text.columns])
 
 
 def load_lookup(
