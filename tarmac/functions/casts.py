@@ -67,7 +67,7 @@ def _number(name: str) -> str:
 def _typed(name: str, dtype: str, na_tokens: Sequence[str]) -> str:
     number = f"`_number_{name}`"
     if dtype == "float":
-        fits = f"not isnan({number})"
+        fits = f"{number} is not null and not isnan({number})"
     else:
         low, high = INTEGER_RANGES[dtype]
         fits = f"{number} between {low} and {high} and {number} % 1 = 0"

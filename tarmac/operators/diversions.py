@@ -86,30 +86,42 @@ def diversion_events(raw: DataFrame) -> DataFrame:
     ).withColumn("diverted_to_different_airport", _different_airport())
 
 
-# Ways the legs of one repeated flight key are spread over tasks.
-SALTS = 8
+# Ways the rows of one repeated flight key are spread over tasks.
+SALTS = 16
+
+
+def _salted(df: DataFrame) -> DataFrame:
+    """Spread equal keys by the input partition they lie in.
+
+    That number is the same when a task runs again, and unlike a hash of the
+    row it also separates exact copies.
+    """
+    return df.withColumn("salt", F.spark_partition_id() % SALTS)
+
+
+def _every_salt(df: DataFrame) -> DataFrame:
+    return df.withColumn("salt", F.explode(F.array(*map(F.lit, range(SALTS)))))
 
 
 def diversions_with_parent(detail: DataFrame, flights: DataFrame) -> DataFrame:
     """The same events from the two stored staging tables, joined on ``flight_id``.
 
-    A key may be filed several times, so the parent side is first brought to
-    one row per key and cannot multiply legs. Legs of one key are salted by
-    their content against the parents that have legs, which are few; both
-    sides of that join are plain shuffles, so adaptive execution can split what
-    is left, such as many exact copies of one leg.
+    A key may be filed several times, so parents are brought to one row per
+    key and cannot multiply legs. Only flights that have legs, which are few,
+    are kept before that. Both joins salt their larger side, so that neither a
+    much-filed flight nor its legs meet in one task.
     """
-    with_legs = detail.select("flight_id").distinct()
+    keyed = _every_salt(detail.select("flight_id").distinct())
     parents = (
-        flights.groupBy("flight_id")
+        _salted(flights.select("flight_id", "origin_airport", "flight_outcome"))
+        .join(keyed, ["flight_id", "salt"], "left_semi")
+        .groupBy("flight_id")
         .agg(F.min(F.struct("origin_airport", "flight_outcome")).alias("parent"))
-        .join(with_legs, "flight_id", "left_semi")
         .select("flight_id", "parent.origin_airport", "parent.flight_outcome")
     )
-    every_salt = F.explode(F.array(*[F.lit(i).cast("long") for i in range(SALTS)]))
     return (
-        detail.withColumn("salt", F.pmod(F.xxhash64(*LEG_COLUMNS), F.lit(SALTS)))
-        .join(parents.withColumn("salt", every_salt), ["flight_id", "salt"])
+        _salted(detail)
+        .join(_every_salt(parents), ["flight_id", "salt"])
         .drop("salt")
         .withColumn("diverted_to_different_airport", _different_airport())
     )
