@@ -385,6 +385,9 @@ from raw_ontime order by 1, 2, 3, 4, 5, 6, 7, 8, 9 limit 5""",
 select flight_date, source_year, source_month, extract(month from flight_date) as actual_month
 from stg where extract(month from flight_date) <> source_month
  or extract(year from flight_date) <> source_year""",
+    "excess_other_cancellations": f"""{FLIGHTS}
+select count(*) as cancelled_other from stg where flight_outcome = 'cancelled_other'
+having count(*) > 1""",
     "rule_violations": f"{RAW},\n{BROKEN}\n{_rules('broken')}",
     "rule_violations_clean": f"{RAW}\n{_rules('raw_ontime')}",
     "schema_diff": f"""with {HEADERS},

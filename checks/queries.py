@@ -351,6 +351,11 @@ def month_mismatch(t: Tables) -> DataFrame:
     return quality.month_mismatch(t.flights)
 
 
+@query
+def excess_other_cancellations(t: Tables) -> DataFrame:
+    return quality.excess_other_cancellations(t.flights)
+
+
 def _broken(raw: DataFrame) -> DataFrame:
     """The raw rows with every documented rule broken on some of them."""
     hit = F.col("Flight_Number_Reporting_Airline") % 101 == 0

@@ -29,6 +29,14 @@ def month_mismatch(flights: DataFrame) -> DataFrame:
     )
 
 
+def excess_other_cancellations(flights: DataFrame, allowed: int = 1) -> DataFrame:
+    """Count of cancellations that fit no category, if there are more than known."""
+    other = F.count_if(F.col("flight_outcome") == "cancelled_other")
+    return flights.agg(other.alias("cancelled_other")).filter(
+        F.col("cancelled_other") > allowed
+    )
+
+
 def _delay_rules(side: str) -> dict[str, tuple[Column, Column]]:
     """Derived fields of departure (``Dep``) or arrival (``Arr``) delay."""
     delay = F.col(f"{side}Delay")

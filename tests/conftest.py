@@ -7,8 +7,12 @@ SF_DIR = "/root/testdata/sf0.001"
 
 
 @pytest.fixture(scope="session")
-def spark():
-    session = local_session(4, "tests", **{"spark.driver.memory": "6g"})
+def spark(tmp_path_factory):
+    settings = {
+        "spark.driver.memory": "6g",
+        "spark.sql.warehouse.dir": str(tmp_path_factory.mktemp("warehouse")),
+    }
+    session = local_session(4, "tests", **settings)
     session.sparkContext.setLogLevel("OFF")
     yield session
     session.stop()

@@ -109,8 +109,9 @@ def numbers(spark):
     frame = pd.DataFrame(
         {"wide": wide, "heavy": heavy, "rare": [None] * 3999 + [2.0, 5.0], "none": np.nan}
     )
-    return frame, spark.createDataFrame(frame.astype(object).where(frame.notna(), None),
-                                        "wide double, heavy double, rare double, none double")
+    present = frame.astype(object).where(frame.notna(), None)
+    schema = "wide double, heavy double, rare double, none double"
+    return frame, spark.createDataFrame(present, schema)
 
 
 def test_exact_summary_equals_pandas(numbers):
@@ -168,3 +169,10 @@ def test_mismatch_ignores_unknown_dates(spark):
     flights = df.withColumn("flight_date", F.to_date("d"))
     found = quality.month_mismatch(flights).select("source_year", "source_month").collect()
     assert sorted(map(tuple, found)) == [(2023, 1), (2024, 2)]
+
+
+def test_known_odd_cancellation_is_tolerated(spark):
+    flights = spark.createDataFrame([("cancelled_other",)], "flight_outcome string")
+    assert quality.excess_other_cancellations(flights).isEmpty()
+    twice = flights.union(flights)
+    assert quality.excess_other_cancellations(twice).first().cancelled_other == 2

@@ -271,3 +271,6 @@ def test_publish(spark):
     df = spark.range(3)
     lake.publish(df, "three_rows")
     assert spark.table("three_rows").count() == 3
+    lake.publish(df, "three_stored", as_table=True)
+    lake.publish(df.limit(2), "three_stored", as_table=True)
+    assert spark.table("three_stored").count() == 2
