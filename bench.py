@@ -21,7 +21,7 @@ from tarmac.sources.fields import FIELDS
 from tarmac.sources.lake import write_lake
 
 HEADLINES = (
-    "stg_flights_all",
+    "stg_flights",
     "flight_outcome_counts",
     "stg_diversion_detail",
     "diversions_with_parent",

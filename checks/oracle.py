@@ -275,7 +275,7 @@ def _lookup(name: str, code: str, label: str) -> str:
 
 
 ORACLE: dict[str, str] = {
-    "stg_flights_all": f"{FLIGHTS}\nselect * from stg",
+    "stg_flights": f"{FLIGHTS}\nselect * from stg",
     "flight_outcome_counts": (
         f"{FLIGHTS}\nselect flight_outcome, count(*) as flights from stg group by flight_outcome"
     ),
@@ -407,10 +407,10 @@ where sample_to is not null and not exists (select 1 from headers h
 select cast(sample as varchar) as file, "column", 'missing' as problem from years, fields
 where (i + sample) % 17 = 0 and sample in (select sample from headers)
 union all select cast(sample as varchar), 'Extra', 'unexpected' from years""",
-    "typed_projection_all": f"{RAW}\nselect "
+    "typed_projection": f"{RAW}\nselect "
     + ",\n ".join(_respelled(n, d) for n, d in FIELDS.items())
     + " from raw_ontime",
-    "annotated": f"""{RAW}
+    "annotate": f"""{RAW}
 select FlightDate, Reporting_Airline, Tail_Number,
  {_printf(MONTH_FILE, 'source_year', 'source_month')} as _source_file,
  cast('2026-01-01 00:00:00' as timestamp) as _ingested_at,

@@ -11,12 +11,18 @@ from pyspark.sql import functions as F
 
 from checks import substitute
 from tarmac.functions import codes
-from tarmac.operators import crosstabs, diversions, duplicates, labels, profile, quality
-from tarmac.operators.staging import stg_flights, stg_lookup
+from tarmac.operators import (
+    crosstabs,
+    diversions,
+    duplicates,
+    labels,
+    profile,
+    quality,
+    staging,
+)
 from tarmac.plans import marts, star
 from tarmac.session import ensure_checkpoint_dir
-from tarmac.sources import headers, lake, lookups
-from tarmac.sources.extracts import annotate, typed_projection
+from tarmac.sources import extracts, headers, lake, lookups
 from tarmac.sources.fields import FIELDS, MODELLED_LOOKUPS
 
 
@@ -42,11 +48,11 @@ class Tables:
         return substitute.lookup(self.spark, self.sf_dir, table)
 
     def lookup(self, table: str) -> DataFrame:
-        return stg_lookup(self.raw_lookup(table), *MODELLED_LOOKUPS[table])
+        return staging.stg_lookup(self.raw_lookup(table), *MODELLED_LOOKUPS[table])
 
     @property
     def flights(self) -> DataFrame:
-        return stg_flights(self.raw)
+        return staging.stg_flights(self.raw)
 
     @property
     def label_sides(self) -> tuple[DataFrame, DataFrame, DataFrame]:
@@ -80,7 +86,7 @@ def query(build: Query) -> Query:
 
 
 @query
-def stg_flights_all(t: Tables) -> DataFrame:
+def stg_flights(t: Tables) -> DataFrame:
     return t.flights
 
 
@@ -428,8 +434,8 @@ def _as_text(raw: DataFrame) -> DataFrame:
 
 
 @query
-def typed_projection_all(t: Tables) -> DataFrame:
-    typed = typed_projection(_as_text(t.raw))
+def typed_projection(t: Tables) -> DataFrame:
+    typed = extracts.typed_projection(_as_text(t.raw))
     wide = {"float": "double", "string": "string"}
     return typed.select(
         *[F.col(n).cast(wide.get(d, "long")).alias(n) for n, d in FIELDS.items()]
@@ -437,12 +443,12 @@ def typed_projection_all(t: Tables) -> DataFrame:
 
 
 @query
-def annotated(t: Tables) -> DataFrame:
+def annotate(t: Tables) -> DataFrame:
     year, month = F.col("source_year"), F.col("source_month")
     rows = t.raw.select("FlightDate", "Reporting_Airline", "Tail_Number", year, month)
     source_file = codes.last_path_part(codes.month_url(year, month))
     loaded_at = F.lit("2026-01-01 00:00:00").cast("timestamp")
-    return annotate(rows, source_file, year, month, loaded_at).drop(*lake.MONTH_KEYS)
+    return extracts.annotate(rows, source_file, year, month, loaded_at).drop(*lake.MONTH_KEYS)
 
 
 @query

@@ -11,6 +11,8 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tarmac.functions.sqltext import column_name, text_literal
+
 # The words the extracts' usual reader takes for a missing cell.
 NA_TOKENS = (
     "",
@@ -41,21 +43,19 @@ INTEGER_RANGES = {
 }
 
 
-def _sql_text(value: str) -> str:
-    return "'" + value.replace("\\", "\\\\").replace("'", "\\'") + "'"
-
-
 def _present(name: str, na_tokens: Sequence[str]) -> str:
     """SQL test: the cell holds something and no missing-value word."""
+    cell = column_name(name)
     if not na_tokens:
-        return f"`{name}` is not null"
-    words = ", ".join(map(_sql_text, na_tokens))
-    return f"(`{name}` is not null and `{name}` not in ({words}))"
+        return f"{cell} is not null"
+    words = ", ".join(map(text_literal, na_tokens))
+    return f"({cell} is not null and {cell} not in ({words}))"
 
 
 def missing_to_null(name: str, na_tokens: Sequence[str] = NA_TOKENS) -> Column:
     """The text column, null where it holds one of the missing-value words."""
-    return F.expr(f"case when {_present(name, na_tokens)} then `{name}` end").alias(name)
+    cell = column_name(name)
+    return F.expr(f"case when {_present(name, na_tokens)} then {cell} end").alias(name)
 
 
 def _number(name: str) -> str:
@@ -70,7 +70,7 @@ def _typed(name: str, dtype: str, na_tokens: Sequence[str]) -> str:
         fits = f"{number} is not null and not isnan({number})"
     else:
         low, high = INTEGER_RANGES[dtype]
-        fits = f"{number} between {low} and {high} and {number} % 1 = 0"
+        fits = f"{number} between {low} and {high} and rint({number}) = {number}"
     return f"""case when {fits} then cast({number} as {dtype})
         when {_present(name, na_tokens)}
         then raise_error(concat('{name}: not a valid {dtype}: ', `{name}`)) end"""

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tarmac.functions.rates import percent
+from tarmac.functions.sqltext import column_name, text_literal
 from tarmac.session import ensure_checkpoint_dir
 
 
@@ -25,9 +26,10 @@ def column_names(df: DataFrame) -> DataFrame:
 
 def _column_counts(df: DataFrame) -> DataFrame:
     """``(column, type, non_null, rows)`` from one aggregate over all columns."""
-    counts = [F.expr(f"count(`{c}`) as c{i}") for i, c in enumerate(df.columns)]
+    counts = [F.expr(f"count({column_name(c)}) as c{i}") for i, c in enumerate(df.columns)]
     cells = ", ".join(
-        f"'{name}', '{dtype}', c{i}" for i, (name, dtype) in enumerate(df.dtypes)
+        f"{text_literal(name)}, {text_literal(dtype)}, c{i}"
+        for i, (name, dtype) in enumerate(df.dtypes)
     )
     long_form = f"stack({len(df.columns)}, {cells}) as (column, type, non_null)"
     return df.agg(F.count("*").alias("rows"), *counts).selectExpr(long_form, "rows")
@@ -62,7 +64,8 @@ QUANTILES = {"p25": 0.25, "p50": 0.5, "p75": 0.75}
 
 def _long_values(df: DataFrame, names: list[str]) -> DataFrame:
     """``(pos, value)`` of every present number; NaN counts as missing."""
-    cells = F.expr("array(" + ", ".join(f"cast(`{n}` as double)" for n in names) + ")")
+    numbers = ", ".join(f"cast({column_name(n)} as double)" for n in names)
+    cells = F.expr(f"array({numbers})")
     return df.select(F.posexplode(cells).alias("pos", "value")).filter(
         F.col("value").isNotNull() & ~F.isnan("value")
     )

@@ -149,17 +149,17 @@ def test_sketched_summary_is_close(numbers):
 
 
 def test_profiles(spark):
-    df = spark.createDataFrame([(1, None), (2, "x"), (3, None)], "a int, b string")
+    df = spark.createDataFrame([(1, None), (2, "x"), (3, None)], "a int, `it's b` string")
     assert [tuple(r) for r in profile.null_profile(df).collect()] == [
-        ("b", 2, 66.67),
+        ("it's b", 2, 66.67),
         ("a", 0, 0.0),
     ]
     assert [tuple(r) for r in profile.column_info(df).collect()] == [
         ("a", "int", 3),
-        ("b", "string", 1),
+        ("it's b", "string", 1),
     ]
     assert tuple(profile.shape(df).first()) == (3, 2)
-    assert [r.column for r in profile.column_names(df).collect()] == ["a", "b"]
+    assert [r.column for r in profile.column_names(df).collect()] == ["a", "it's b"]
 
 
 def test_mismatch_ignores_unknown_dates(spark):
