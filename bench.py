@@ -77,7 +77,8 @@ def main() -> None:
         return min(timed(lambda: discard(build())) for _ in range(runs))
 
     raw = raw_ontime(spark, sf_dir, spark.sparkContext.defaultParallelism)
-    seconds = {"write_lake": timed(lambda: write_lake(raw, f"{root}/lake"))}
+    writes = [timed(lambda: write_lake(raw, f"{root}/lake")) for _ in range(runs)]
+    seconds = {"write_lake": min(writes)}
     tables = Tables(spark, sf_dir, lake_root=f"{root}/lake")
     text = tables.raw.select(*FIELDS).coalesce(spark.sparkContext.defaultParallelism)
     text.write.option("header", True).csv(f"{root}/csv")

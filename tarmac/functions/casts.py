@@ -58,22 +58,21 @@ def missing_to_null(name: str, na_tokens: Sequence[str] = NA_TOKENS) -> Column:
     return F.expr(f"case when {_present(name, na_tokens)} then {cell} end").alias(name)
 
 
-def _number(name: str) -> str:
-    """Text to double, null when it is none; ``1d`` and ``1f`` are none."""
-    endings = " or ".join(f"endswith(`{name}`, '{c}')" for c in "dDfF")
-    return f"case when not ({endings}) then try_cast(`{name}` as double) end"
-
-
 def _typed(name: str, dtype: str, na_tokens: Sequence[str]) -> str:
-    number = f"`_number_{name}`"
+    """Judge one parsed number: its type when it fits, else null or an error.
+
+    ``1d`` and ``1f`` parse as doubles but are no numbers here.
+    """
+    cell, number = column_name(name), column_name(f"_number_{name}")
     if dtype == "float":
         fits = f"{number} is not null and not isnan({number})"
     else:
         low, high = INTEGER_RANGES[dtype]
         fits = f"{number} between {low} and {high} and rint({number}) = {number}"
-    return f"""case when {fits} then cast({number} as {dtype})
+    suffixed = " or ".join(f"endswith({cell}, '{letter}')" for letter in "dDfF")
+    return f"""case when {fits} and not ({suffixed}) then cast({number} as {dtype})
         when {_present(name, na_tokens)}
-        then raise_error(concat('{name}: not a valid {dtype}: ', `{name}`)) end"""
+        then raise_error(concat('{name}: not a valid {dtype}: ', {cell})) end"""
 
 
 def _reads_as_number(word: str) -> bool:
@@ -101,7 +100,13 @@ def strict_casts(
         text = text.withColumns({name: missing_to_null(name, na_tokens) for name in dtypes})
         na_tokens = ()
     numeric = [name for name, dtype in dtypes.items() if dtype != "string"]
-    parsed = text.selectExpr("*", *[f"{_number(n)} as `_number_{n}`" for n in numeric])
+    parsed = text.selectExpr(
+        "*",
+        *[
+            f"try_cast({column_name(n)} as double) as {column_name(f'_number_{n}')}"
+            for n in numeric
+        ],
+    )
     typed = [
         missing_to_null(n, na_tokens)
         if dtype == "string"

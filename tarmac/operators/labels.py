@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -10,20 +12,28 @@ BROADCAST_MAX_ROWS = 500_000
 BROADCAST_MAX_BYTES = 64 * 1024 * 1024
 
 
-def broadcast_if_small(lookup: DataFrame) -> DataFrame:
-    """Hint a broadcast after measuring rows and text; leave larger ones alone.
+def broadcast_if_small(*lookups: DataFrame) -> list[DataFrame]:
+    """Hint a broadcast where rows and text are measured to be few; one job for all.
 
     Without the hint Spark shuffles both sides and splits skewed partitions of
     the flight side, so a grown lookup costs time and nothing else.
     """
-    width = sum(
-        (F.coalesce(F.octet_length(c), F.lit(0)) for c in lookup.columns), F.lit(0)
-    )
-    size = lookup.agg(
-        F.count("*").alias("rows"), F.coalesce(F.sum(width), F.lit(0)).alias("bytes")
-    ).first()
-    small = size.rows <= BROADCAST_MAX_ROWS and size.bytes <= BROADCAST_MAX_BYTES
-    return F.broadcast(lookup) if small else lookup
+
+    def measured(i: int, lookup: DataFrame) -> DataFrame:
+        lengths = [F.coalesce(F.octet_length(c), F.lit(0)) for c in lookup.columns]
+        return lookup.agg(
+            F.lit(i).alias("i"),
+            F.count("*").alias("rows"),
+            F.coalesce(F.sum(sum(lengths, F.lit(0))), F.lit(0)).alias("bytes"),
+        )
+
+    sizes = reduce(DataFrame.unionByName, [measured(i, d) for i, d in enumerate(lookups)])
+    small = {
+        row.i
+        for row in sizes.collect()  # one row per lookup
+        if row.rows <= BROADCAST_MAX_ROWS and row.bytes <= BROADCAST_MAX_BYTES
+    }
+    return [F.broadcast(d) if i in small else d for i, d in enumerate(lookups)]
 
 
 def attach_label(df: DataFrame, code: Column, lookup: DataFrame, label: str) -> DataFrame:
@@ -41,9 +51,7 @@ def with_labels(
     Carriers join on the reporting carrier code, which is unique over the
     years; market ids are cast to text, as the lookups are text.
     """
-    carriers, cancellations, markets = map(
-        broadcast_if_small, (carriers, cancellations, markets)
-    )
+    carriers, cancellations, markets = broadcast_if_small(carriers, cancellations, markets)
     labelled = attach_label(flights, F.col("carrier_code"), carriers, "carrier_name")
     labelled = attach_label(
         labelled, F.col("cancellation_code"), cancellations, "cancellation_reason"
@@ -61,7 +69,7 @@ def with_labels(
 
 def with_delay_bands(raw: DataFrame, groups: DataFrame) -> DataFrame:
     """Departure and arrival delay band labels on raw rows."""
-    groups = broadcast_if_small(groups)
+    (groups,) = broadcast_if_small(groups)
     labelled = attach_label(
         raw, F.col("DepartureDelayGroups"), groups, "departure_delay_band"
     )

@@ -38,17 +38,13 @@ def delay_causes(flights: DataFrame, keys: Sequence[str]) -> DataFrame:
 def delay_by_carrier(flights: DataFrame, carriers: DataFrame) -> DataFrame:
     """``delay_by`` per carrier with its name, labelled after the aggregation."""
     rows = delay_by(flights, ["carrier_code"])
-    return attach_label(
-        rows, F.col("carrier_code"), broadcast_if_small(carriers), "carrier_name"
-    )
+    (names,) = broadcast_if_small(carriers)
+    return attach_label(rows, F.col("carrier_code"), names, "carrier_name")
 
 
 def delay_by_market(flights: DataFrame, markets: DataFrame) -> DataFrame:
     """``delay_by`` per origin metro market with its name."""
     rows = delay_by(flights, ["origin_city_market_id"])
-    return attach_label(
-        rows,
-        F.col("origin_city_market_id"),
-        broadcast_if_small(markets),
-        "origin_city_market_name",
-    )
+    (names,) = broadcast_if_small(markets)
+    key = F.col("origin_city_market_id")
+    return attach_label(rows, key, names, "origin_city_market_name")
