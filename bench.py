@@ -92,7 +92,7 @@ def main() -> None:
                 "value": round(sum(seconds.values()), 3),
                 "unit": "sec",
                 "queries": {name: round(s, 3) for name, s in seconds.items()},
-                "sf": os.path.basename(sf_dir.rstrip("/")).removeprefix("sf"),
+                "sf": float(os.path.basename(sf_dir.rstrip("/")).removeprefix("sf")),
             }
         )
     )
