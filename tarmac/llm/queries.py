@@ -6,10 +6,10 @@ from __future__ import annotations
 import os
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tarmac.llm import exact_dedup, packing
+from tarmac.llm import exact_dedup, packing, secret_scan, toxicity
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -28,18 +28,55 @@ def vocabulary(name: str) -> str:
     return str(public_tokenizers.path(name))
 
 
+def _listed(spans: Column) -> Column:
+    """``kind:start:end`` of each span, comma-joined."""
+    return F.array_join(
+        F.transform(spans, lambda s: F.concat_ws(":", s["kind"], s["start"], s["end"])), ","
+    )
+
+
+def op1_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import public_tokenizers
+
+    found = secret_scan.scan_secrets(
+        given(spark, sf_dir, "documents"),
+        vocabulary("byte_bpe_50k.tiktoken"),
+        public_tokenizers.PATTERN,
+    )
+    base = F.filter("spans", lambda s: s["kind"] != "random")
+    kinds = F.transform("spans", lambda s: s["kind"])
+    counts = [
+        (F.size("spans") - F.size(F.array_remove(kinds, kind))).cast("long").alias(f"n_{kind}")
+        for kind in secret_scan.KINDS
+    ]
+    return found.select(
+        "doc_id",
+        *counts,
+        F.sha2(_listed(base), 256).alias("base_sha256"),
+        _listed(F.col("spans")).alias("spans"),
+    )
+
+
 def op6_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.dedup_exact(given(spark, sf_dir, "documents")).select(
         "doc_id", "keep_id", "group_size", "kept", F.lower(F.hex("digest")).alias("text_sha256")
     )
 
 
+def op9_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity.score_toxicity(
+        given(spark, sf_dir, "documents"), given(spark, sf_dir, "labels")
+    )
+
+
 def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(given(spark, sf_dir, "documents"), vocabulary("word_bpe_49k.json"))
 
 
 QUERIES: dict[str, Query] = {
+    "op1_secret_scan": op1_secret_scan,
     "op6_exact_dedup": op6_exact_dedup,
+    "op9_toxicity": op9_toxicity,
     "op10_packing": op10_packing,
 }
 
