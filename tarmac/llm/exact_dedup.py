@@ -85,28 +85,28 @@ class DigestIndex:
             "group_size",
             F.when(F.col("batch") == batch, F.col("first._row")).alias("keep_row"),
         )
-        return _verdict_of_each_row(prints, verdicts)
+        return join_on_digest(prints, verdicts).select(
+            "_row",
+            "doc_id",
+            "digest",
+            "keep_id",
+            "group_size",
+            (F.col("_row") == F.coalesce("keep_row", F.lit(-1))).alias("kept"),
+        )
 
 
-def _verdict_of_each_row(prints: DataFrame, verdicts: DataFrame) -> DataFrame:
-    """Join rows with the verdict on their digest. The few digests that hold a
-    10,000th of all rows or more are broadcast, so none of them meets in a task."""
+def join_on_digest(prints: DataFrame, verdicts: DataFrame) -> DataFrame:
+    """Inner join on ``digest`` of rows and one verdict per digest with its
+    ``group_size``. The few digests that hold a 10,000th of all rows or more are
+    broadcast, so none of them meets in a task."""
     share = max(1, prints.count() // HOT_DIGESTS)
     hot = verdicts.filter(F.col("group_size") > share)
     rest = verdicts.filter(F.col("group_size") <= share)
-    joined = prints.join(F.broadcast(hot), "digest").unionByName(
+    return prints.join(F.broadcast(hot), "digest").unionByName(
         prints.join(F.broadcast(hot.select("digest")), "digest", "left_anti").join(
             rest.hint("merge"), "digest"
         )
     )
-    return joined.select(
-        "_row",
-        "doc_id",
-        "digest",
-        "keep_id",
-        "group_size",
-        (F.col("_row") == F.coalesce("keep_row", F.lit(-1))).alias("kept"),
-    )
 
 
 def dedup_exact(docs: DataFrame) -> DataFrame:

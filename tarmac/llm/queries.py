@@ -9,7 +9,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tarmac.llm import exact_dedup, packing, secret_scan, toxicity
+from tarmac.llm import decontaminate, exact_dedup, near_dedup, packing, secret_scan, toxicity
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -57,12 +57,31 @@ def op1_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op4_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = decontaminate.contamination(
+        given(spark, sf_dir, "documents"), given(spark, sf_dir, "benchmark")
+    )
+    return found.select(
+        "doc_id",
+        "n_words",
+        "n_hit",
+        F.size("items").cast("long").alias("n_items"),
+        F.sha2(F.array_join("items", ","), 256).alias("items_sha256"),
+        "contaminated",
+        "longest",
+    )
+
+
 def op6_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.dedup_exact(given(spark, sf_dir, "documents")).select(
         "doc_id", "keep_id", "group_size", "kept", F.lower(F.hex("digest")).alias("text_sha256")
     )
 
 
+def op8_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_dedup.classes(given(spark, sf_dir, "documents")).drop("_row")
+
+
 def op9_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.score_toxicity(
         given(spark, sf_dir, "documents"), given(spark, sf_dir, "labels")
@@ -75,7 +94,9 @@ def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Query] = {
     "op1_secret_scan": op1_secret_scan,
+    "op4_decontamination": op4_decontamination,
     "op6_exact_dedup": op6_exact_dedup,
+    "op8_near_dedup": op8_near_dedup,
     "op9_toxicity": op9_toxicity,
     "op10_packing": op10_packing,
 }

@@ -161,20 +161,20 @@ def window_hashes(values: np.ndarray, width: int, base: np.uint64 = BASES[0]) ->
     if n <= 0:
         return np.zeros(0, np.uint64)
     done, total, power, span = 0, None, values, 1
-    rest, factor = width, base
+    rest, factor = width, int(base)
     while rest:
         if rest & 1:
             if total is None:
                 total, done = power, span
             else:
                 m = len(power) - done
-                total = total[:m] * factor + power[done : done + m]
+                total = total[:m] * np.uint64(factor) + power[done : done + m]
                 done += span
         rest >>= 1
         if rest:
             m = len(power) - span
-            power = power[:m] * factor + power[span : span + m]
-            factor = factor * factor
+            power = power[:m] * np.uint64(factor) + power[span : span + m]
+            factor = factor * factor % 2**64
             span *= 2
     return mix(total[:n] + np.uint64(width))
 
