@@ -9,7 +9,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tarmac.llm import decontaminate, exact_dedup, near_dedup, packing, secret_scan, toxicity
+from tarmac.llm import decontaminate, exact_dedup, near_dedup, packing, secret_scan, substring_dedup, toxicity
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -57,6 +57,20 @@ def op1_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def _span_total(spans: str) -> Column:
+    zero = F.lit(0).cast("long")
+    return F.aggregate(spans, zero, lambda n, s: n + s["end"] - s["start"])
+
+
+def op3_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return substring_dedup.remove_repeats(given(spark, sf_dir, "documents")).select(
+        "doc_id",
+        "n_words",
+        _span_total("removed").alias("n_removed"),
+        F.sha2("kept_text", 256).alias("kept_sha256"),
+    )
+
+
 def op4_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = decontaminate.contamination(
         given(spark, sf_dir, "documents"), given(spark, sf_dir, "benchmark")
@@ -94,6 +108,7 @@ def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Query] = {
     "op1_secret_scan": op1_secret_scan,
+    "op3_substring_dedup": op3_substring_dedup,
     "op4_decontamination": op4_decontamination,
     "op6_exact_dedup": op6_exact_dedup,
     "op8_near_dedup": op8_near_dedup,
