@@ -9,7 +9,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tarmac.llm import decontaminate, exact_dedup, near_dedup, packing, secret_scan, substring_dedup, toxicity
+from tarmac.llm import decontaminate, exact_dedup, near_dedup, packing, secret_scan, substring_dedup, suffix_dedup, toxicity
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -92,6 +92,16 @@ def op6_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op7_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffix_dedup.remove_repeats(given(spark, sf_dir, "documents")).select(
+        "doc_id",
+        "n_bytes",
+        _span_total("removed").alias("n_removed"),
+        F.size("removed").cast("long").alias("n_spans"),
+        F.sha2("kept", 256).alias("kept_sha256"),
+    )
+
+
 def op8_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_dedup.classes(given(spark, sf_dir, "documents")).drop("_row")
 
@@ -111,6 +121,7 @@ QUERIES: dict[str, Query] = {
     "op3_substring_dedup": op3_substring_dedup,
     "op4_decontamination": op4_decontamination,
     "op6_exact_dedup": op6_exact_dedup,
+    "op7_suffix_dedup": op7_suffix_dedup,
     "op8_near_dedup": op8_near_dedup,
     "op9_toxicity": op9_toxicity,
     "op10_packing": op10_packing,

@@ -19,13 +19,29 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tarmac.llm.texts import mix, signed
+from tarmac.llm.texts import BASES, mix, signed
 
 #: ``rank`` orders the texts, ``place`` packs (start, end - start, several, settled).
 STRETCH = "anchor bigint, whole bigint, rank bigint, _row bigint, place bigint"
 _NAMES = ("anchor", "whole", "rank", "_row", "place")
-FOUND = "_row bigint, start bigint, end bigint, mixed boolean"
+FOUND = (
+    "_row bigint, start bigint, end bigint, mixed boolean, anchor bigint, part bigint"
+)
+#: Kinds of stretches with one anchor that get the same ``part`` number.
+PART = 16
 _LENGTH_BITS, _FLAG_BITS = 28, 2
+_BASE, _INVERSE = BASES[1], np.uint64(pow(int(BASES[1]), -1, 2**64))
+
+
+def span_hashes(values: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndarray:
+    """Hashes of ``values[start:end]`` of any lengths."""
+    n = len(values)
+    powers, back = np.full(n + 1, _BASE), np.full(n + 1, _INVERSE)
+    powers[0] = back[0] = 1
+    powers, back = np.cumprod(powers), np.cumprod(back)
+    total = np.zeros(n + 1, np.uint64)
+    np.cumsum(values * powers[:-1], out=total[1:])
+    return mix((total[end] - total[start]) * back[start] + (end - start).astype(np.uint64))
 
 
 def _packed(start, length, several, settled) -> np.ndarray:
@@ -87,8 +103,12 @@ def stretches(anchor, whole, rank, row, start, end, keep_first: bool) -> Iterato
             _packed(start[first], (end - start)[first], several & (not keep_first), False),
         ]
     )
-    rest = ~first
-    row, start, end = _merged(row[rest], start[rest], end[rest])
+    yield from settled_spans(row[~first], start[~first], end[~first])
+
+
+def settled_spans(row, start, end) -> Iterator[pa.RecordBatch]:
+    """Stretches that are known to repeat; they only pass through ``settle``."""
+    row, start, end = _merged(row, start, end)
     if len(row):
         spread = signed(mix(row.astype(np.uint64) + np.uint64(1)))
         zero = np.zeros(len(row), np.int64)
@@ -99,11 +119,12 @@ def _walk(keep_first: bool) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.
     """Settle sorted stretches: which repeat, and which share an anchor only."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held = [np.zeros(0, np.int64)] * 5
+        held, passed = [np.zeros(0, np.int64)] * 5, 0
         for batch in batches:
             new = [batch.column(i).to_numpy() for i in range(5)]
             ready = (new[4] & 1) == 1
-            found = [(new[3][ready], new[4][ready], np.zeros(ready.sum(), bool))]
+            zero = np.zeros(ready.sum(), np.int64)
+            found = [(new[3][ready], new[4][ready], zero > 0, zero, zero)]
             anchor, whole, rank, row, place = (
                 np.concatenate([h, x[~ready]]) for h, x in zip(held, new)
             )
@@ -115,32 +136,38 @@ def _walk(keep_first: bool) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.
                 if not keep_first:
                     repeat = repeat | ~last | ((place & 2) != 0)
                 run_of = np.cumsum(opens) - 1
-                kinds = np.bincount(run_of, first)
-                mixed = first & (kinds[run_of] > 1)
-                found += [(row[repeat], place[repeat], np.zeros(repeat.sum(), bool))]
-                found += [(row[mixed], place[mixed], np.ones(mixed.sum(), bool))]
+                heads = np.flatnonzero(opens)
+                kind = np.cumsum(first) - 1
+                kind -= kind[heads][run_of]
+                kind += np.where((run_of == 0) & (kind > 0), passed, 0)
+                mixed = first & (np.bincount(run_of, first)[run_of] > 1)
+                for some, is_mixed in ((repeat, False), (mixed, True)):
+                    flag = np.full(some.sum(), is_mixed)
+                    found += [(row[some], place[some], flag, anchor[some], kind[some] // PART)]
                 # The run may go on: hold its first row and that of its last kind.
-                begin = np.flatnonzero(opens)[-1]
-                hold = sorted({int(begin), int(np.flatnonzero(first)[-1])})
+                hold = sorted({int(heads[-1]), int(np.flatnonzero(first)[-1])})
+                passed = max(0, int(kind[hold[-1]]) - 1)
                 place = place | np.where(repeat, 2, 0)
                 held = [x[hold] for x in (anchor, whole, rank, row, place)]
-            row, place, mixed = (np.concatenate(x) for x in zip(*found))
+            row, place, mixed, anchor, part = (np.concatenate(x) for x in zip(*found))
             if len(row):
                 start = _start(place)
+                columns = (row, start, start + _length(place), mixed, anchor, part)
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(x) for x in (row, start, start + _length(place), mixed)],
-                    ["_row", "start", "end", "mixed"],
+                    [pa.array(x) for x in columns],
+                    ["_row", "start", "end", "mixed", "anchor", "part"],
                 )
 
     return run
 
 
 def settle(rows: DataFrame, keep_first: bool) -> DataFrame:
-    """(_row, start, end, mixed) from rows like ``STRETCH``, some of them repeatedly.
+    """Rows like ``FOUND`` from rows like ``STRETCH``, some of them repeatedly.
 
     ``mixed`` false: the stretch repeats another (an earlier one, with ``keep_first``).
     ``mixed`` true: it shares its anchor with a stretch that differs from it; of equal
-    ones only the first is told.
+    ones only the first is told. ``part`` numbers the kinds that share an anchor, in
+    portions of ``PART``.
     """
     keyed = rows.repartition("anchor").sortWithinPartitions(*_NAMES)
     return keyed.mapInArrow(_walk(keep_first), FOUND)

@@ -24,7 +24,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tarmac.llm.repeats import STRETCH, by_row, settle, stretches, union_of_spans
+from tarmac.llm.repeats import STRETCH, by_row, settle, span_hashes, stretches, union_of_spans
 from tarmac.llm.texts import (
     BASES,
     SPACED,
@@ -47,17 +47,6 @@ REACH = PERIOD - 1
 
 _ON_COVER = np.zeros(PERIOD, bool)
 _ON_COVER[list(COVER)] = True
-_INVERSE = np.uint64(pow(int(BASES[1]), -1, 2**64))
-
-
-def _span_hashes(values: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndarray:
-    """Hashes of ``values[start:end]`` of any lengths."""
-    n = len(values)
-    powers, back = np.full(n + 1, BASES[1]), np.full(n + 1, _INVERSE)
-    powers[0] = back[0] = 1
-    powers, back = np.cumprod(powers), np.cumprod(back)
-    total = np.concatenate([np.zeros(1, np.uint64), np.cumsum(values * powers[:-1])])
-    return mix((total[end] - total[start]) * back[start] + (end - start).astype(np.uint64))
 
 
 def _anchors(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -72,7 +61,7 @@ def _anchors(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         behind = np.minimum(left[at], WINDOW)
         fits = before + behind >= WINDOW
         at, before, behind = at[fits], before[fits], behind[fits]
-        whole = _span_hashes(values, at - before, at + behind)
+        whole = span_hashes(values, at - before, at + behind)
         rows = batch.column("_row").to_numpy()[text[at]]
         start = inside[at] - before
         yield from stretches(
@@ -116,27 +105,26 @@ def _windows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 def _cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Remove the spans ``repeats`` and ``more`` from the words of each text."""
+    span = pa.struct([("start", pa.int64()), ("end", pa.int64())])
     for batch in slices(batches, "text"):
-        words = split_words(batch.column("text"), SPACED)
-        kept, removed = [], []
+        kept, removed, sizes = [], [], []
         columns = (batch.column("repeats").to_pylist(), batch.column("more").to_pylist())
-        for k, (one, two) in enumerate(zip(*columns)):
-            low, high = int(words.first[k]), int(words.first[k + 1])
+        texts = batch.column("text").cast(pa.large_binary()).to_pylist()
+        for text, one, two in zip(texts, *columns):
+            words = (text or b"").split()  # bytes split at the same white space as SPACED
             spans = union_of_spans([(s["start"], s["end"]) for s in (one or []) + (two or [])])
+            edges = [0, *(x for s in spans for x in s), len(words)]
+            parts = [words[a:b] for a, b in zip(edges[::2], edges[1::2])]
+            kept.append(b" ".join(w for part in parts for w in part))
             removed.append([{"start": a, "end": b} for a, b in spans])
-            parts, at = [], low
-            for a, b in [*spans, (high - low, high - low)]:
-                parts += [words.bytes_of(i) for i in range(at, low + a)]
-                at = low + b
-            kept.append(b" ".join(parts).decode("utf-8"))
-        span = pa.struct([("start", pa.int64()), ("end", pa.int64())])
+            sizes.append(len(words))
         yield pa.RecordBatch.from_arrays(
             [
                 batch.column("_row"),
                 batch.column("doc_id"),
-                pa.array(np.diff(words.first)),
+                pa.array(sizes, pa.int64()),
                 pa.array(removed, pa.list_(span)),
-                pa.array(kept, pa.string()),
+                pa.array(kept, pa.binary()).cast(pa.string()),
             ],
             ["_row", "doc_id", "n_words", "removed", "kept_text"],
         )
@@ -153,10 +141,11 @@ def remove_repeats(docs: DataFrame) -> DataFrame:
         texts.join(by_row(found.filter(~F.col("mixed")), "repeats"), "_row", "left")
         .join(by_row(found.filter("mixed"), "unsettled"), "_row", "left")
     )
-    open_rows = marked.filter(F.col("unsettled").isNotNull()).select("_row", "text", "unsettled")
+    # No column is left out here, so that both uses of the texts share one shuffle.
+    open_rows = marked.filter(F.col("unsettled").isNotNull())
     more = settle(open_rows.mapInArrow(_windows, STRETCH), keep_first=False)
     more = by_row(more.filter(~F.col("mixed")), "more")
-    return marked.drop("unsettled").join(more, "_row", "left").mapInArrow(
+    return marked.join(more, "_row", "left").mapInArrow(
         _cut,
         "_row bigint, doc_id bigint, n_words bigint, "
         "removed array<struct<start: bigint, end: bigint>>, kept_text string",
