@@ -9,7 +9,18 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tarmac.llm import decontaminate, exact_dedup, near_dedup, packing, secret_scan, substring_dedup, suffix_dedup, toxicity
+from tarmac.llm import (
+    decontaminate,
+    exact_dedup,
+    importance,
+    language_id,
+    near_dedup,
+    packing,
+    secret_scan,
+    substring_dedup,
+    suffix_dedup,
+    toxicity,
+)
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -57,6 +68,12 @@ def op1_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op2_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return importance.resample(
+        given(spark, sf_dir, "documents"), given(spark, sf_dir, "labels")
+    ).drop("_row")
+
+
 def _span_total(spans: str) -> Column:
     zero = F.lit(0).cast("long")
     return F.aggregate(spans, zero, lambda n, s: n + s["end"] - s["start"])
@@ -86,6 +103,12 @@ def op4_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op5_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return language_id.identify_held_out(
+        given(spark, sf_dir, "documents"), vocabulary("piece_bpe_32k.model")
+    )
+
+
 def op6_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.dedup_exact(given(spark, sf_dir, "documents")).select(
         "doc_id", "keep_id", "group_size", "kept", F.lower(F.hex("digest")).alias("text_sha256")
@@ -118,8 +141,10 @@ def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Query] = {
     "op1_secret_scan": op1_secret_scan,
+    "op2_quality": op2_quality,
     "op3_substring_dedup": op3_substring_dedup,
     "op4_decontamination": op4_decontamination,
+    "op5_language_id": op5_language_id,
     "op6_exact_dedup": op6_exact_dedup,
     "op7_suffix_dedup": op7_suffix_dedup,
     "op8_near_dedup": op8_near_dedup,
