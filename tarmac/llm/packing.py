@@ -29,7 +29,7 @@ import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 
-from tarmac.llm.texts import SPACED, flat, slices, split_words, word_hashes
+from tarmac.llm.texts import SPACED, flat, slices, small_batches, split_words, word_hashes
 
 LENGTH = 4096
 END_ID = 2
@@ -243,4 +243,4 @@ def pack(docs: DataFrame, tokenizer_path: str) -> DataFrame:
         if stream.held:
             yield pa.RecordBatch.from_pydict(stream.place(last=True), types)
 
-    return docs.select("doc_id", "text").mapInArrow(run, _SCHEMA)
+    return small_batches(docs).select("doc_id", "text").mapInArrow(run, _SCHEMA)

@@ -19,7 +19,7 @@ from functools import lru_cache
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
-from tarmac.llm.texts import slices
+from tarmac.llm.texts import slices, small_batches
 
 #: Characters a token below which a string counts as random.
 MOST_RATIO = 1.9
@@ -115,4 +115,4 @@ def scan_secrets(docs: DataFrame, vocabulary_path: str, pattern: str) -> DataFra
                 [batch.column("doc_id"), pa.array(spans, pa.list_(span))], ["doc_id", "spans"]
             )
 
-    return docs.select("doc_id", "text").mapInArrow(run, _SCHEMA)
+    return small_batches(docs).select("doc_id", "text").mapInArrow(run, _SCHEMA)

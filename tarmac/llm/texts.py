@@ -17,7 +17,9 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 #: Bytes of text that one step works on; a longer single text is a step of its own.
-SLICE_BYTES = 4 << 20
+SLICE_BYTES = 2 << 20
+#: Most texts that go to a Python worker in one piece.
+BATCH_ROWS = 1000
 
 _LONG_WORD = 256
 _STEP = np.uint64(0x9E3779B97F4A7C15)
@@ -44,6 +46,16 @@ _LOWER = np.arange(256, dtype=np.uint8)
 _LOWER[0x41:0x5B] += 0x20
 
 
+def small_batches(docs: DataFrame) -> DataFrame:
+    """``docs``, whose session is made to send texts in pieces of ``BATCH_ROWS`` rows at
+    most: the default of 10,000 is meant for short rows."""
+    setting = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    conf = docs.sparkSession.conf
+    if not 0 < int(conf.get(setting)) <= BATCH_ROWS:
+        conf.set(setting, str(BATCH_ROWS))
+    return docs
+
+
 def with_row(docs: DataFrame, *columns: str) -> DataFrame:
     """``_row`` and the named columns, nothing else.
 
@@ -51,7 +63,8 @@ def with_row(docs: DataFrame, *columns: str) -> DataFrame:
     the input is split, so the input must come back alike when a task is repeated:
     a table scan does.
     """
-    return docs.select(F.monotonically_increasing_id().alias("_row"), *columns)
+    row = F.monotonically_increasing_id().alias("_row")
+    return small_batches(docs).select(row, *columns)
 
 
 def mix(h: np.ndarray) -> np.ndarray:

@@ -26,7 +26,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tarmac.llm.texts import ALNUM, mix, slices, split_words, word_hashes
+from tarmac.llm.texts import ALNUM, mix, slices, small_batches, split_words, word_hashes
 
 #: Most rows of either label in the training sample.
 TRAIN_ROWS = 4000
@@ -176,7 +176,7 @@ def train(docs: DataFrame, labels: DataFrame, label: str = "toxic") -> Machine:
     """Fit on the rows of ``docs`` that ``labels`` (doc_id, ``label``) marks. The fit
     is one task over the sample, which ``TRAIN_ROWS`` bounds."""
     sample = F.broadcast(_sample(labels, label).select("doc_id", "label", "order"))
-    rows = docs.select("doc_id", "text").join(sample, "doc_id").select("label", "order", "text")
+    rows = small_batches(docs).select("doc_id", "text").join(sample, "doc_id").select("label", "order", "text")
 
     def terms(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches, "text"):
@@ -211,7 +211,7 @@ def train(docs: DataFrame, labels: DataFrame, label: str = "toxic") -> Machine:
 def score_texts(docs: DataFrame, machine: Machine) -> DataFrame:
     """Each row of ``docs`` as the struct ``doc``, with the ``score`` of its ``text``."""
     model = docs.sparkSession.sparkContext.broadcast(machine)
-    rows = docs.select(F.struct("*").alias("doc"), "text")
+    rows = small_batches(docs).select(F.struct("*").alias("doc"), "text")
     schema = rows.select("doc").withColumn("score", F.lit(0.0)).schema
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
