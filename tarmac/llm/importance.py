@@ -37,7 +37,9 @@ from tarmac.llm.texts import (
 from tarmac.session import ensure_checkpoint_dir
 
 NGRAMS = (1, 2)
-BUCKET_BITS = 16
+BUCKET_BITS = 14
+#: Mean count of a bucket that the raw model lends to the target model beforehand.
+PRIOR = 200
 TARGET_ROWS = 20_000
 SEED = 1
 
@@ -80,7 +82,8 @@ def _counts(docs: DataFrame) -> np.ndarray:
 
 
 def log_ratios(docs: DataFrame, labels: DataFrame, label: str = "quality") -> np.ndarray:
-    """Log of target over raw probability of each bucket, both smoothed by one count."""
+    """Log of target over raw probability of each bucket. The raw model is smoothed by one
+    count, the target model by ``PRIOR`` counts dealt out like the raw model."""
     good = (
         labels.filter((F.col(label) == 1) & F.col("doc_id").isNotNull())
         .select("doc_id")
@@ -91,9 +94,10 @@ def log_ratios(docs: DataFrame, labels: DataFrame, label: str = "quality") -> np
     target = _counts(docs.join(F.broadcast(good), "doc_id", "left_semi"))
     if not target.any():
         return np.zeros(len(target))
-    raw = _counts(docs)
-    share = lambda n: np.log((n + 1) / (n + 1).sum())
-    return share(target) - share(raw)
+    raw = _counts(docs) + 1
+    raw /= raw.sum()
+    lent = PRIOR * len(target)
+    return np.log((target + lent * raw) / (target.sum() + lent) / raw)
 
 
 def _in_order(x: np.ndarray) -> np.ndarray:
