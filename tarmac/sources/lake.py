@@ -11,8 +11,9 @@ from tarmac.sources.extracts import (
     annotate,
     expand_archives,
     list_archives,
-    month_of_name,
+    month_of_folder,
     read_months_csv,
+    require_one_archive_a_month,
 )
 
 MONTH_KEYS = ["source_year", "source_month"]
@@ -47,13 +48,23 @@ def read_lake(spark: SparkSession, root: str) -> DataFrame:
 
 
 def loaded_months(spark: SparkSession, root: str) -> DataFrame:
-    """Months already in the lake; none when the lake does not exist yet."""
+    """Months already in the lake; none when the lake does not exist yet.
+
+    They are read off the names of its files. No file is opened.
+    """
+    keys = "source_year int, source_month int"
     try:
-        return read_lake(spark, root).select(*MONTH_KEYS).distinct()
+        files = (
+            spark.read.format("binaryFile")
+            .option("pathGlobFilter", "*.parquet")
+            .option("recursiveFileLookup", "true")
+            .load(root)
+        )
     except AnalysisException as error:
-        if error.getCondition() not in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"):
+        if error.getCondition() != "PATH_NOT_FOUND":
             raise
-        return spark.createDataFrame([], "source_year int, source_month int")
+        return spark.createDataFrame([], keys)
+    return files.select(*month_of_folder(F.col("path"))).distinct()
 
 
 def month_calendar(bounds: DataFrame, start: Column, end: Column) -> DataFrame:
@@ -82,30 +93,52 @@ def ingest_archives(
     text_dir: str,
     root: str,
     ingested_at: Column | None = None,
+    start: Column | None = None,
+    published: DataFrame | None = None,
 ) -> list[tuple[int, int]]:
-    """Load every archived month the lake lacks; returns the months written.
+    """Load every published month the lake lacks; returns the months written.
+
+    ``start`` is the date of the first month to load, up to today's; without it
+    all archived months count. ``published`` holds the months that are out by
+    their keys, by default those with an archive; a published month without an archive
+    stops the load. Archives already loaded are not opened. The pending ones are
+    unpacked, checked, typed and written as one job whatever their number.
 
-    Archives already loaded are not opened. The pending ones are unpacked,
-    checked, typed and written as one job whatever their number.
+    Nothing is written when two archives claim one pending month. After writing,
+    the months wanted are compared with those in the lake, and a missing one is an
+    error: an archive without flights, for instance.
     """
-    pending = list_archives(spark, zip_dir).join(
-        loaded_months(spark, root), MONTH_KEYS, "left_anti"
+    archives = list_archives(spark, zip_dir)
+    months = archives.select(*MONTH_KEYS).distinct()
+    calendar = months
+    if start is not None:
+        calendar = month_calendar(spark.range(1), start, F.current_date())
+    missing = pending_months(
+        calendar, months if published is None else published, loaded_months(spark, root)
     )
-    wanted = pending.orderBy(*MONTH_KEYS).collect()  # one row per month
+    wanted = (
+        missing.distinct().join(archives, MONTH_KEYS, "left").orderBy(*MONTH_KEYS).collect()
+    )  # one row per month
+    lost = [(r.source_year, r.source_month) for r in wanted if r.archive_path is None]
+    if lost:
+        raise ValueError(f"published months without an archive: {lost}")
     if not wanted:
         return []
+    require_one_archive_a_month(wanted)
     unpacked = expand_archives(spark, [r.archive_path for r in wanted], text_dir)
-    names = [r.archive_path.rsplit("/", 1)[-1] for r in wanted]
-    paths = [r.csv_path for r in unpacked.filter(F.col("archive").isin(names)).collect()]
-    months = read_months_csv(spark, paths)
-    year, month = month_of_name(F.col("_path"))
-    dated = months.select("*", year, month).drop("_path")
+    months = read_months_csv(spark, [r.csv_path for r in unpacked.collect()])
+    dated = months.select("*", *month_of_folder(F.col("_path"))).drop("_path")
     source_file = last_path_part(month_url(F.col("source_year"), F.col("source_month")))
     write_lake(
         annotate(dated, source_file, F.col("source_year"), F.col("source_month"), ingested_at),
         root,
     )
-    return [(r.source_year, r.source_month) for r in wanted]
+    stored = {tuple(r) for r in loaded_months(spark, root).collect()}
+    done = [(r.source_year, r.source_month) for r in wanted]
+    absent = [month for month in done if month not in stored]
+    if absent:
+        raise ValueError(f"months that were unpacked but did not reach the lake: {absent}")
+    return done
 
 
 def publish(df: DataFrame, name: str, as_table: bool = False) -> None:

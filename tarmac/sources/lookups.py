@@ -35,7 +35,7 @@ def load_lookup(
     """Replace the snapshot of one lookup; a source without rows is refused."""
     lookup = read_lookup_csv(spark, csv_path, na_tokens)
     if lookup.isEmpty():
-        raise ValueError(f"{table} returned no rows")
+        raise ValueError(f"the source of {table} is empty; its snapshot is left as it was")
     (
         lookup.withColumn(
             "_ingested_at", F.current_timestamp() if ingested_at is None else ingested_at
@@ -99,13 +99,13 @@ def drop_metadata(df: DataFrame) -> DataFrame:
 
 def lookup_summary(tables: dict[str, DataFrame]) -> DataFrame:
     """``(table, rows, cols, columns)``: counts, width and the data column names."""
-    counted = [
-        df.agg(F.count("*").alias("rows")).select(
-            F.lit(name).alias("table"),
-            "rows",
-            F.lit(len(df.columns)).cast("long").alias("cols"),
-            F.lit(", ".join(data_columns(df))).alias("columns"),
-        )
-        for name, df in sorted(tables.items())
-    ]
-    return reduce(DataFrame.unionByName, counted)
+    layout = [(name, len(df.columns), ", ".join(data_columns(df))) for name, df in tables.items()]
+    rows = reduce(
+        DataFrame.unionAll, [df.select(F.lit(name).alias("table")) for name, df in tables.items()]
+    )
+    spark = rows.sparkSession
+    described = spark.createDataFrame(layout, "table string, cols bigint, columns string")
+    counts = rows.groupBy("table").agg(F.count("*").alias("rows"))
+    return described.join(counts, "table", "left").select(
+        "table", F.coalesce("rows", F.lit(0)).alias("rows"), "cols", "columns"
+    )
