@@ -103,20 +103,37 @@ def _every_salt(df: DataFrame) -> DataFrame:
     return df.withColumn("salt", F.explode(F.array(*map(F.lit, range(SALTS)))))
 
 
+# Outcomes of filings from the one most sure to have legs to those that have none.
+_LEGS_FIRST = (
+    "diverted",
+    "cancelled_after_departure",
+    "cancelled_other",
+    "cancelled_after_pushback",
+    "cancelled_before_pushback",
+    "completed",
+)
+
+
 def diversions_with_parent(detail: DataFrame, flights: DataFrame) -> DataFrame:
     """The same events from the two stored staging tables, joined on ``flight_id``.
 
     A key may be filed several times, so parents are brought to one row per
-    key and cannot multiply legs. Only flights that have legs, which are few,
-    are kept before that. Both joins salt their larger side, so that neither a
-    much-filed flight nor its legs meet in one task.
+    key and cannot multiply legs. Staged flights do not say which of them has the
+    legs, so the parent is the filing whose outcome goes with legs: a diverted
+    one before a cancelled one before a completed one. Where filings with
+    different outcomes both have legs, only ``diversion_events`` tells them apart;
+    it needs no join either and is the form to use on the raw table. Only flights
+    that have legs, which are few, are kept before the grouping. Both joins salt
+    their larger side, so that neither a much-filed flight nor its legs meet in
+    one task.
     """
     keyed = _every_salt(detail.select("flight_id").distinct())
+    order = F.array_position(F.array(*map(F.lit, _LEGS_FIRST)), F.col("flight_outcome"))
     parents = (
         _salted(flights.select("flight_id", "origin_airport", "flight_outcome"))
         .join(keyed, ["flight_id", "salt"], "left_semi")
         .groupBy("flight_id")
-        .agg(F.min(F.struct("origin_airport", "flight_outcome")).alias("parent"))
+        .agg(F.min(F.struct(order, "origin_airport", "flight_outcome")).alias("parent"))
         .select("flight_id", "parent.origin_airport", "parent.flight_outcome")
     )
     return (

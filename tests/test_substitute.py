@@ -23,7 +23,7 @@ def test_flight_keys(tables):
     row = tables.flights.agg(
         F.count("*"), F.countDistinct("flight_id"), F.min("flight_id")
     ).first()
-    assert tuple(row) == (6021, 6011, "001201712e13a60e06cc4102c612f245")
+    assert tuple(row) == (6104, 6011, "0012d9163d54c94488f2cbe1b9fa2cfd")
 
 
 def test_month_mismatches(tables):
@@ -32,7 +32,7 @@ def test_month_mismatches(tables):
 
 def test_duplicate_groups(tables):
     physical = REGISTRY["physical_duplicate_share"](tables).first()
-    assert (physical.groups, physical.dupes) == (5842, 21)
+    assert (physical.groups, physical.dupes) == (5842, 104)
     slots = REGISTRY["codeshare_share"](tables).first()
     assert (slots.groups, slots.dupes) == (5999, 12)
 
@@ -47,6 +47,13 @@ def test_legs(tables):
     ]
 
 
+def test_some_diversion_is_filed_again_with_another_outcome(tables):
+    outcomes = tables.flights.groupBy("flight_id").agg(F.collect_set("flight_outcome").alias("o"))
+    assert [sorted(r.o) for r in outcomes.filter(F.size("o") > 1).collect()] == [
+        ["completed", "diverted"]
+    ]
+
+
 def test_leg_count_equals_filled_airports(tables):
     filled = sum((F.count(f"Div{n}Airport") for n in range(1, 6)), F.lit(0))
     assert tables.raw.agg(filled).first()[0] == REGISTRY["stg_diversion_detail"](tables).count()
