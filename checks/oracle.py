@@ -6,7 +6,7 @@ expressions of the substitute table are shared.
 
 from __future__ import annotations
 
-from checks.substitute import LOOKUP_SQL, raw_ontime_sql
+from checks.substitute import CARRIERS, LOOKUP_SQL, UNLABELLED_CARRIER, raw_ontime_sql
 from tarmac.functions.casts import NA_TOKENS
 from tarmac.functions.codes import ALPHABET, LOOKUP_URL, MONTH_URL
 from tarmac.sources.fields import FIELDS
@@ -89,20 +89,38 @@ LABEL_JOINS = """
  left join l_city_market_id o on cast(f.origin_city_market_id as varchar) = o.Code
  left join l_city_market_id d on cast(f.destination_city_market_id as varchar) = d.Code"""
 
-EVENTS = f"""{RAW},
-{KEYED},
-{LEGS},
-parent as (select flight_id, min(Origin) as origin_airport, min(
-  case when Diverted = 1 then 'diverted'
+OUTCOME = """case when Diverted = 1 then 'diverted'
    when Cancelled = 1 and DepTime is null then 'cancelled_before_pushback'
    when Cancelled = 1 and WheelsOff is null then 'cancelled_after_pushback'
    when Cancelled = 1 and DivAirportLandings = 9 then 'cancelled_after_departure'
-   when Cancelled = 1 then 'cancelled_other' else 'completed' end) as flight_outcome
- from keyed group by flight_id)
+   when Cancelled = 1 then 'cancelled_other' else 'completed' end"""
+
+# Of the filings of a key the one that has legs, found by its legs.
+WITH_PARENT = f"""{RAW},
+{KEYED},
+{LEGS},
+parent as (select distinct flight_id, Origin as origin_airport, {OUTCOME} as flight_outcome
+ from keyed where coalesce(Div1Airport, Div2Airport, Div3Airport, Div4Airport, Div5Airport)
+ is not null)
 select legs.*, origin_airport, flight_outcome,
  diversion_airport <> origin_airport as diverted_to_different_airport
 from legs join parent using (flight_id)"""
 
+# Each leg with what its own row says.
+EVENTS = f"{RAW},\n{KEYED}\n" + "\n union all ".join(
+    f"""select flight_id, cast({n} as bigint) as diversion_sequence,
+  Div{n}Airport as diversion_airport, cast(Div{n}AirportID as bigint) as diversion_airport_id,
+  cast(Div{n}AirportSeqID as bigint) as diversion_airport_seq_id,
+  cast(Div{n}WheelsOn as bigint) as wheels_on_time,
+  cast(Div{n}WheelsOff as bigint) as wheels_off_time,
+  cast(Div{n}TotalGTime as double) as total_ground_time_minutes,
+  cast(Div{n}LongestGTime as double) as longest_ground_time_minutes,
+  Div{n}TailNum as tail_number, Origin as origin_airport, {OUTCOME} as flight_outcome,
+  Div{n}Airport <> Origin as diverted_to_different_airport
+ from keyed where Div{n}Airport is not null"""
+    for n in range(1, 6)
+)
+
 
 def _groups(keys: str) -> str:
     present = " and ".join(f"{k} is not null" for k in keys.split(", "))
@@ -304,7 +322,7 @@ select FlightDate, Reporting_Airline,
 from raw_ontime
 left join l_ontime_delay_groups a on cast(DepartureDelayGroups as varchar) = a.Code
 left join l_ontime_delay_groups b on cast(ArrivalDelayGroups as varchar) = b.Code""",
-    "diversions_with_parent": EVENTS,
+    "diversions_with_parent": WITH_PARENT,
     "diversion_events": EVENTS,
     "slot_report": (
         f"{RAW},\n{_groups(SLOT)}\nselect FlightDate, Origin, Dest, {GROUP_MEASURES} from g"
@@ -348,7 +366,10 @@ union all select 'documents', count(*), cast(5 as bigint) from documents""",
         "select '{name}' as \"column\", '{dtype}' as type, {non_null} as non_null from k"
     ),
     "numeric_summary": f"{RAW}\n"
-    + _summary("raw_ontime", [n for n, d in FIELDS.items() if d != "string"]),
+    + _summary(
+        "raw_ontime",
+        [*(n for n, d in FIELDS.items() if d != "string"), "source_year", "source_month"],
+    ),
     "numeric_summary_lineitem": _summary(
         "lineitem",
         [
@@ -371,9 +392,10 @@ union all select 'documents', count(*), cast(5 as bigint) from documents""",
     ),
     "carrier_isin": f"""{FLIGHTS}
 select flight_id, carrier_code, flight_number from stg
-where carrier_code in ('9E', 'AA', 'DL', 'HA', 'WN')""",
+where carrier_code in ('{CARRIERS[1]}', '{CARRIERS[2]}', '{CARRIERS[3]}', '{UNLABELLED_CARRIER}')""",
     "carrier_equals": (
-        f"select Code, Description from ({LOOKUP_SQL['l_unique_carriers']}) where Code = 'AA'"
+        f"select Code, Description from ({LOOKUP_SQL['l_unique_carriers']})"
+        f" where Code = '{CARRIERS[1]}'"
     ),
     "origin_head": f"""{RAW}
 select cast(OriginAirportID as bigint) as OriginAirportID,
@@ -386,8 +408,8 @@ select flight_date, source_year, source_month, extract(month from flight_date) a
 from stg where extract(month from flight_date) <> source_month
  or extract(year from flight_date) <> source_year""",
     "excess_other_cancellations": f"""{FLIGHTS}
-select count(*) as cancelled_other from stg where flight_outcome = 'cancelled_other'
-having count(*) > 1""",
+select count(*) as cancelled_other, count(*) > 1 as excess from stg
+where flight_outcome = 'cancelled_other'""",
     "rule_violations": f"{RAW},\n{BROKEN}\n{_rules('broken')}",
     "rule_violations_clean": f"{RAW}\n{_rules('raw_ontime')}",
     "schema_diff": f"""with {HEADERS},
@@ -429,6 +451,10 @@ from calendar where (year(m), month(m)) in (select (y, mo) from published)
 select cast(source_year as bigint) as source_year, cast(source_month as bigint) as source_month,
  count(*) as flights, sum(cast(Distance as double)) as miles from raw_ontime
 where source_year = 1997 and source_month <= 6 group by 1, 2""",
+    "loaded_months": f"""{RAW}
+select distinct cast(source_year as bigint) as source_year,
+ cast(source_month as bigint) as source_month from raw_ontime""",
+    "lookup_round_trip": _lookup_rows("Code, Description from {name}"),
     "url_codes": f"""select s_name as name, translate(s_name, '{ALPHABET}', '{ROTATED}') as encoded,
  s_name as decoded, concat('{LOOKUP_URL}', translate(s_name, '{ALPHABET}', '{ROTATED}')) as url
 from supplier""",
@@ -468,3 +494,7 @@ select carrier_code, sum(carrier_delay_minutes) as carrier_delay_minutes,
  sum(security_delay_minutes) as security_delay_minutes,
  sum(late_aircraft_delay_minutes) as late_aircraft_delay_minutes from stg group by carrier_code""",
 }
+
+# The same results by way of files.
+ORACLE["csv_round_trip"] = ORACLE["typed_projection"]
+ORACLE["header_report"] = ORACLE["header_problems"]

@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import uuid
 from collections.abc import Callable
 from functools import cached_property, reduce
 
@@ -21,7 +20,7 @@ from tarmac.operators import (
     staging,
 )
 from tarmac.plans import marts, star
-from tarmac.session import ensure_checkpoint_dir
+from tarmac.session import scratch_folder
 from tarmac.sources import extracts, headers, lake, lookups
 from tarmac.sources.fields import FIELDS, MODELLED_LOOKUPS
 
@@ -173,10 +172,6 @@ def _listed(report: DataFrame) -> DataFrame:
     return plain.withColumn("CRSDepTime", F.col("CRSDepTime").cast("long"))
 
 
-def _slots(t: Tables) -> DataFrame:
-    return duplicates.group_report(t.raw, duplicates.SLOT)
-
-
 def _many_carriers() -> Column:
     return F.col("n_distinct_carriers") > 1
 
@@ -187,42 +182,35 @@ def _many_rows() -> Column:
 
 @query
 def slot_report(t: Tables) -> DataFrame:
-    return _listed(_slots(t))
+    return _listed(duplicates.group_report(t.raw, duplicates.SLOT))
 
 
 @query
 def codeshare_candidates(t: Tables) -> DataFrame:
-    return _listed(
-        duplicates.candidates(_slots(t), _many_carriers(), 10, duplicates.SLOT)
-    )
+    report = duplicates.group_report(t.raw, duplicates.SLOT, _many_carriers())
+    return _listed(duplicates.candidates(report, 10, duplicates.SLOT))
 
 
 @query
 def codeshare_share(t: Tables) -> DataFrame:
-    return duplicates.duplicate_share(_slots(t), _many_carriers(), 2)
+    counts = duplicates.group_counts(t.raw, duplicates.SLOT)
+    return duplicates.duplicate_share(counts, F.col("several_carriers"), 2)
 
 
 @query
 def physical_duplicates(t: Tables) -> DataFrame:
-    report = duplicates.group_report(t.raw, duplicates.PHYSICAL_FLIGHT)
-    return _listed(report.filter(_many_rows()))
+    return _listed(duplicates.group_report(t.raw, duplicates.PHYSICAL_FLIGHT, _many_rows()))
 
 
 @query
 def physical_duplicate_share(t: Tables) -> DataFrame:
-    report = duplicates.group_report(t.raw, duplicates.PHYSICAL_FLIGHT)
-    return duplicates.duplicate_share(report, _many_rows(), 3)
+    counts = duplicates.group_counts(t.raw, duplicates.PHYSICAL_FLIGHT)
+    return duplicates.duplicate_share(counts, _many_rows(), 3)
 
 
 @query
 def naive_duplicates(t: Tables) -> DataFrame:
-    shares = [
-        duplicates.duplicate_share(
-            duplicates.group_report(t.raw, keys), _many_rows(), 3
-        ).withColumn("key", F.lit(", ".join(keys)))
-        for keys in (duplicates.ROUTE_DAY, duplicates.SLOT)
-    ]
-    return reduce(DataFrame.unionByName, shares)
+    return duplicates.naive_shares(t.raw, 3)
 
 
 @query
@@ -291,7 +279,7 @@ def _rounded(summary: DataFrame) -> DataFrame:
 
 @query
 def numeric_summary(t: Tables) -> DataFrame:
-    return _rounded(profile.numeric_summary(t.raw.drop(*lake.MONTH_KEYS)))
+    return _rounded(profile.numeric_summary(t.raw))
 
 
 @query
@@ -322,8 +310,7 @@ def lookup_heads(t: Tables) -> DataFrame:
 
 # Filters and heads
 
-# The carriers an explorer picks out.
-PICKED_CARRIERS = ("9E", "AA", "DL", "HA", "WN")
+PICKED_CARRIERS = (*substitute.CARRIERS[1:4], substitute.UNLABELLED_CARRIER)
 
 
 @query
@@ -335,7 +322,7 @@ def carrier_isin(t: Tables) -> DataFrame:
 
 @query
 def carrier_equals(t: Tables) -> DataFrame:
-    return t.raw_lookup("l_unique_carriers").filter(F.col("Code") == "AA").select(
+    return t.raw_lookup("l_unique_carriers").filter(F.col("Code") == substitute.CARRIERS[1]).select(
         "Code", "Description"
     )
 
@@ -433,15 +420,18 @@ def _as_text(raw: DataFrame) -> DataFrame:
     return raw.select(*[spelled(n, d).alias(n) for n, d in FIELDS.items()])
 
 
-@query
-def typed_projection(t: Tables) -> DataFrame:
-    typed = extracts.typed_projection(_as_text(t.raw))
+def _wide(typed: DataFrame) -> DataFrame:
     wide = {"float": "double", "string": "string"}
     return typed.select(
         *[F.col(n).cast(wide.get(d, "long")).alias(n) for n, d in FIELDS.items()]
     )
 
 
+@query
+def typed_projection(t: Tables) -> DataFrame:
+    return _wide(extracts.typed_projection(_as_text(t.raw)))
+
+
 @query
 def annotate(t: Tables) -> DataFrame:
     year, month = F.col("source_year"), F.col("source_month")
@@ -467,19 +457,73 @@ def pending_months(t: Tables) -> DataFrame:
 @query
 def lake_scan(t: Tables) -> DataFrame:
     """Write the raw table as a lake, then read two quarters of one year back."""
-    root = f"{ensure_checkpoint_dir(t.spark)}/lake-{uuid.uuid4().hex}"
-    lake.write_lake(t.raw, root)
-    half_year = (F.col("source_year") == 1997) & (F.col("source_month") <= 6)
-    found = (
-        lake.read_lake(t.spark, root)
-        .filter(half_year)
-        .groupBy(*lake.MONTH_KEYS)
-        .agg(
-            F.count("*").alias("flights"),
-            F.sum(F.col("Distance").cast("double")).alias("miles"),
+    with scratch_folder(t.spark) as root:
+        lake.write_lake(t.raw, root)
+        half_year = (F.col("source_year") == 1997) & (F.col("source_month") <= 6)
+        found = (
+            lake.read_lake(t.spark, root)
+            .filter(half_year)
+            .groupBy(*lake.MONTH_KEYS)
+            .agg(
+                F.count("*").alias("flights"),
+                F.sum(F.col("Distance").cast("double")).alias("miles"),
+            )
         )
+        return _long_columns(found, *lake.MONTH_KEYS).checkpoint()
+
+
+@query
+def loaded_months(t: Tables) -> DataFrame:
+    with scratch_folder(t.spark) as root:
+        lake.write_lake(t.raw.select("FlightDate", *lake.MONTH_KEYS), root)
+        return _long_columns(lake.loaded_months(t.spark, root), *lake.MONTH_KEYS).checkpoint()
+
+
+@query
+def csv_round_trip(t: Tables) -> DataFrame:
+    """The raw table through CSV text as published, in two column orders."""
+    text = _as_text(t.raw)
+    even = F.col("Flight_Number_Reporting_Airline").cast("int") % 2 == 0
+    parts = {"even": (even, list(FIELDS)), "odd": (~even, list(reversed(FIELDS)))}
+    with scratch_folder(t.spark) as root:
+        for name, (rows, columns) in parts.items():
+            trailing = F.lit(None).cast("string").alias("")
+            published = text.filter(rows).select(*columns, trailing)
+            published.write.options(header=True, **headers.CSV_QUOTING).csv(f"{root}/{name}")
+        months = extracts.read_months_csv(t.spark, [f"{root}/{name}" for name in parts])
+        return _wide(months).checkpoint()
+
+
+@query
+def lookup_round_trip(t: Tables) -> DataFrame:
+    """The lookups through CSV files and their snapshots to views."""
+    with scratch_folder(t.spark) as root:
+        for name in MODELLED_LOOKUPS:
+            rows = lookups.drop_metadata(t.raw_lookup(name))
+            rows.write.options(header=True, **headers.CSV_QUOTING).csv(f"{root}/csv/{name.upper()}.csv")
+        names = [name.upper() for name in MODELLED_LOOKUPS]
+        lookups.load_lookups(t.spark, f"{root}/csv", f"{root}/lookups", names)
+        lookups.register_lookups(t.spark, f"{root}/lookups")
+        stored = lookups.read_lookups(t.spark, f"{root}/lookups")
+        frames = [
+            lookups.drop_metadata(t.spark.table(name)).withColumn("table", F.lit(name))
+            for name in stored
+        ]
+        return reduce(DataFrame.unionByName, frames).checkpoint()
+
+
+@query
+def header_report(t: Tables) -> DataFrame:
+    """``header_problems`` again, from the header lines of files."""
+    kept = _sample_headers(t).groupBy("sample").agg(
+        F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("i", "column"))), lambda c: c["column"]), ",").alias("value")
     )
-    return _long_columns(found, *lake.MONTH_KEYS)
+    with scratch_folder(t.spark) as root:
+        lines = kept.select("sample", F.concat("value", F.lit(",Extra,")).alias("value"))
+        lines.write.partitionBy("sample").text(root)
+        paths = [f"{root}/sample={r.sample}" for r in kept.select("sample").collect()]
+        report = headers.header_report(t.spark, paths)
+        return report.withColumn("file", F.regexp_extract("file", "sample=([0-9]+)", 1)).checkpoint()
 
 
 @query

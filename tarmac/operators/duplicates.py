@@ -6,7 +6,7 @@ from collections.abc import Sequence
 from functools import reduce
 from operator import and_
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tarmac.functions.rates import percent
@@ -17,34 +17,94 @@ SLOT = ("FlightDate", "Origin", "Dest", "CRSDepTime")
 PHYSICAL_FLIGHT = ("FlightDate", "Tail_Number", "Origin", "Dest", "CRSDepTime")
 
 
-def group_report(
+def _complete(df: DataFrame, keys: Sequence[str]) -> DataFrame:
+    return df.filter(reduce(and_, [F.col(k).isNotNull() for k in keys]))
+
+
+def group_counts(
     df: DataFrame, keys: Sequence[str], carrier: str = "Reporting_Airline"
 ) -> DataFrame:
-    """Per key: ``n_rows``, ``n_distinct_carriers`` and the sorted ``carriers``.
+    """Per key: ``n_rows`` and whether there are ``several_carriers``.
 
-    Rows with a null key part drop out. One shuffle after a map-side
-    combine, so a hot key arrives as one row per task; the collected set can
-    only grow to the number of carriers. Callers that read counts alone
-    leave the set, and its object aggregation, out of the plan.
+    Rows with a null key part drop out. One hash aggregate: a hot key arrives as one
+    row per task, and no set of carriers is built.
     """
-    complete = reduce(and_, [F.col(k).isNotNull() for k in keys])
-    carriers = F.array_sort(F.collect_set(carrier))
+    several = F.coalesce(F.min(carrier) < F.max(carrier), F.lit(False))
     return (
-        df.filter(complete)
+        _complete(df, keys)
         .groupBy(*keys)
-        .agg(F.count("*").alias("n_rows"), carriers.alias("carriers"))
-        .select(
-            *keys,
-            "n_rows",
-            F.size("carriers").cast("long").alias("n_distinct_carriers"),
-            "carriers",
+        .agg(F.count("*").alias("n_rows"), several.alias("several_carriers"))
+    )
+
+
+def group_report(
+    df: DataFrame,
+    keys: Sequence[str],
+    by: Column | None = None,
+    carrier: str = "Reporting_Airline",
+) -> DataFrame:
+    """Per key: ``n_rows``, ``n_distinct_carriers`` and the sorted ``carriers``.
+
+    Rows with a null key part drop out. Rows are counted per key and carrier on the
+    map side, so a hot key arrives as one row per task and carrier, and what meets of
+    a key has at most as many rows as there are carriers. ``by`` may test both
+    counts; it is applied before any set is built.
+    """
+    counted = (
+        _complete(df, keys).groupBy(*keys, F.col(carrier).alias("carrier")).agg(F.count("*").alias("n"))
+    )
+    carriers = F.array_sort(F.collect_list("carrier")).alias("carriers")
+    if by is None:
+        found = counted.groupBy(*keys).agg(F.sum("n").alias("n_rows"), carriers)
+        size = F.size("carriers").cast("long").alias("n_distinct_carriers")
+        return found.select(*keys, "n_rows", size, "carriers")
+    whole = Window.partitionBy(*keys)
+    return (
+        counted.withColumns(
+            {
+                "n_rows": F.sum("n").over(whole),
+                "n_distinct_carriers": F.count("carrier").over(whole),
+            }
         )
+        .filter(by)
+        .groupBy(*keys, "n_rows", "n_distinct_carriers")
+        .agg(carriers)
+    )
+
+
+def naive_shares(df: DataFrame, digits: int) -> DataFrame:
+    """``duplicate_share`` by ``ROUTE_DAY`` and by ``SLOT``, with the ``key`` tried.
+
+    Route-day groups are sums of the slot groups, so one scan serves both.
+    """
+    time = SLOT[-1]
+    slots = _complete(df, ROUTE_DAY).groupBy(*SLOT).agg(F.count("*").alias("n"))
+    timed = F.col(time).isNotNull()
+    days = slots.groupBy(*ROUTE_DAY).agg(
+        F.sum("n").alias("n"),
+        F.count_if(timed).alias("slots"),
+        F.count_if(timed & (F.col("n") > 1)).alias("slot_dupes"),
+    )
+    zero = F.lit(0).cast("long")
+    total = days.agg(
+        F.count_if(F.col("n") > 1).alias("day_dupes"),
+        F.count("*").alias("days"),
+        F.coalesce(F.sum("slot_dupes"), zero).alias("slot_dupes"),
+        F.coalesce(F.sum("slots"), zero).alias("slots"),
+    )
+    rows = F.stack(
+        F.lit(2),
+        F.lit(", ".join(ROUTE_DAY)), F.col("day_dupes"), F.col("days"),
+        F.lit(", ".join(SLOT)), F.col("slot_dupes"), F.col("slots"),
+    )
+    return total.select(rows.alias("key", "dupes", "groups")).withColumn(
+        "pct", percent(F.col("dupes"), F.col("groups"), digits)
     )
 
 
-def candidates(report: DataFrame, by: Column, n: int, keys: Sequence[str]) -> DataFrame:
-    """The ``n`` largest groups that satisfy ``by``, ties broken by key."""
-    return report.filter(by).orderBy(F.desc("n_rows"), *keys).limit(n)
+def candidates(report: DataFrame, n: int, keys: Sequence[str]) -> DataFrame:
+    """The ``n`` largest groups of a report, ties broken by key."""
+    return report.orderBy(F.desc("n_rows"), *keys).limit(n)
 
 
 def duplicate_share(report: DataFrame, by: Column, digits: int) -> DataFrame:

@@ -12,12 +12,8 @@ BROADCAST_MAX_ROWS = 500_000
 BROADCAST_MAX_BYTES = 64 * 1024 * 1024
 
 
-def broadcast_if_small(*lookups: DataFrame) -> list[DataFrame]:
-    """Hint a broadcast where rows and text are measured to be few; one job for all.
-
-    Without the hint Spark shuffles both sides and splits skewed partitions of
-    the flight side, so a grown lookup costs time and nothing else.
-    """
+def small_enough(*lookups: DataFrame) -> list[bool]:
+    """Which lookups are measured to have few rows and little text; one job for all."""
 
     def measured(i: int, lookup: DataFrame) -> DataFrame:
         lengths = [F.coalesce(F.octet_length(c), F.lit(0)) for c in lookup.columns]
@@ -33,14 +29,32 @@ def broadcast_if_small(*lookups: DataFrame) -> list[DataFrame]:
         for row in sizes.collect()  # one row per lookup
         if row.rows <= BROADCAST_MAX_ROWS and row.bytes <= BROADCAST_MAX_BYTES
     }
-    return [F.broadcast(d) if i in small else d for i, d in enumerate(lookups)]
+    return [i in small for i in range(len(lookups))]
+
+
+# Keys that null codes are dealt over; no code begins with that character.
+_NULL_KEYS = 4096
+_NO_CODE = "\x00"
+
 
+def attach_label(
+    df: DataFrame, code: Column, lookup: DataFrame, label: str, small: bool = False
+) -> DataFrame:
+    """Left join on the code as text: a code without a label keeps its row.
 
-def attach_label(df: DataFrame, code: Column, lookup: DataFrame, label: str) -> DataFrame:
-    """Left join on the code as text: a code without a label keeps its row."""
+    A ``small`` lookup is broadcast. Otherwise both sides are shuffled, so a grown
+    lookup costs time and nothing else: skewed codes are left to the adaptive join,
+    and null codes, which may be nearly all, go to keys of their own that match
+    nothing and lie in all partitions.
+    """
     key, text = lookup.columns
     side = lookup.select(F.col(key).alias("_code"), F.col(text).alias(label))
-    return df.join(side, code.cast("string") == F.col("_code"), "left").drop("_code")
+    if small:
+        return df.join(F.broadcast(side), code.cast("string") == F.col("_code"), "left").drop("_code")
+    spread = F.concat(F.lit(_NO_CODE), F.monotonically_increasing_id() % _NULL_KEYS)
+    keyed = df.withColumn("_key", F.coalesce(code.cast("string"), spread))
+    side = side.filter(~F.col("_code").startswith(_NO_CODE))
+    return keyed.join(side, F.col("_key") == F.col("_code"), "left").drop("_key", "_code")
 
 
 def with_labels(
@@ -51,26 +65,24 @@ def with_labels(
     Carriers join on the reporting carrier code, which is unique over the
     years; market ids are cast to text, as the lookups are text.
     """
-    carriers, cancellations, markets = broadcast_if_small(carriers, cancellations, markets)
-    labelled = attach_label(flights, F.col("carrier_code"), carriers, "carrier_name")
-    labelled = attach_label(
-        labelled, F.col("cancellation_code"), cancellations, "cancellation_reason"
-    )
-    labelled = attach_label(
-        labelled, F.col("origin_city_market_id"), markets, "origin_city_market_name"
-    )
-    return attach_label(
-        labelled,
-        F.col("destination_city_market_id"),
-        markets,
-        "destination_city_market_name",
+    small = small_enough(carriers, cancellations, markets)
+    steps = (
+        ("carrier_code", carriers, "carrier_name", small[0]),
+        ("cancellation_code", cancellations, "cancellation_reason", small[1]),
+        ("origin_city_market_id", markets, "origin_city_market_name", small[2]),
+        ("destination_city_market_id", markets, "destination_city_market_name", small[2]),
     )
+    for code, lookup, label, is_small in steps:
+        flights = attach_label(flights, F.col(code), lookup, label, is_small)
+    return flights
 
 
 def with_delay_bands(raw: DataFrame, groups: DataFrame) -> DataFrame:
     """Departure and arrival delay band labels on raw rows."""
-    (groups,) = broadcast_if_small(groups)
-    labelled = attach_label(
-        raw, F.col("DepartureDelayGroups"), groups, "departure_delay_band"
-    )
-    return attach_label(labelled, F.col("ArrivalDelayGroups"), groups, "arrival_delay_band")
+    (small,) = small_enough(groups)
+    for code, label in (
+        ("DepartureDelayGroups", "departure_delay_band"),
+        ("ArrivalDelayGroups", "arrival_delay_band"),
+    ):
+        raw = attach_label(raw, F.col(code), groups, label, small)
+    return raw

@@ -30,10 +30,10 @@ def month_mismatch(flights: DataFrame) -> DataFrame:
 
 
 def excess_other_cancellations(flights: DataFrame, allowed: int = 1) -> DataFrame:
-    """Count of cancellations that fit no category, if there are more than known."""
+    """Count of cancellations that fit no category, and whether it is over the number known."""
     other = F.count_if(F.col("flight_outcome") == "cancelled_other")
-    return flights.agg(other.alias("cancelled_other")).filter(
-        F.col("cancelled_other") > allowed
+    return flights.agg(other.alias("cancelled_other")).withColumn(
+        "excess", F.col("cancelled_other") > allowed
     )
 
 

@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tarmac.operators.labels import attach_label, broadcast_if_small
+from tarmac.operators.labels import attach_label, small_enough
 from tarmac.operators.staging import OUTCOMES
 
 CAUSES = ("carrier", "weather", "nas", "security", "late_aircraft")
@@ -38,13 +38,13 @@ def delay_causes(flights: DataFrame, keys: Sequence[str]) -> DataFrame:
 def delay_by_carrier(flights: DataFrame, carriers: DataFrame) -> DataFrame:
     """``delay_by`` per carrier with its name, labelled after the aggregation."""
     rows = delay_by(flights, ["carrier_code"])
-    (names,) = broadcast_if_small(carriers)
-    return attach_label(rows, F.col("carrier_code"), names, "carrier_name")
+    (small,) = small_enough(carriers)
+    return attach_label(rows, F.col("carrier_code"), carriers, "carrier_name", small)
 
 
 def delay_by_market(flights: DataFrame, markets: DataFrame) -> DataFrame:
     """``delay_by`` per origin metro market with its name."""
     rows = delay_by(flights, ["origin_city_market_id"])
-    (names,) = broadcast_if_small(markets)
+    (small,) = small_enough(markets)
     key = F.col("origin_city_market_id")
-    return attach_label(rows, key, names, "origin_city_market_name")
+    return attach_label(rows, key, markets, "origin_city_market_name", small)

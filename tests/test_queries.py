@@ -23,7 +23,7 @@ def test_query_equals_its_sql(spark, duck, sf_dir, name):
 def test_entry_counts_outcomes(spark):
     counts = {r.flight_outcome: r.flights for r in entry_points.entry(spark).collect()}
     assert counts == {
-        "completed": 5762,
+        "completed": 5845,
         "diverted": 130,
         "cancelled_before_pushback": 26,
         "cancelled_after_pushback": 36,
