@@ -94,8 +94,8 @@ def test_toxicity_on_held_out_rows(spark, sf_dir):
 def test_machine_learns_a_pair_that_weights_cannot():
     rng = np.random.default_rng(3)
     rows, labels = [], []
-    for _ in range(1200):
-        insult, group = map(bool, rng.random(2) < 0.5)
+    for _ in range(3000):
+        insult, group = map(bool, rng.random(2) < 0.18)
         noise = rng.integers(100, 4000, 6)
         rows.append(np.unique(np.concatenate([noise, [1] * insult, [2] * group])).astype(np.int32))
         labels.append(insult and group)
