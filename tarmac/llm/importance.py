@@ -26,6 +26,7 @@ from pyspark.sql import functions as F
 
 from tarmac.llm.texts import (
     SPACED,
+    lowest_hashes,
     signed,
     slices,
     small_batches,
@@ -84,13 +85,8 @@ def _counts(docs: DataFrame) -> np.ndarray:
 def log_ratios(docs: DataFrame, labels: DataFrame, label: str = "quality") -> np.ndarray:
     """Log of target over raw probability of each bucket. The raw model is smoothed by one
     count, the target model by ``PRIOR`` counts dealt out like the raw model."""
-    good = (
-        labels.filter((F.col(label) == 1) & F.col("doc_id").isNotNull())
-        .select("doc_id")
-        .distinct()
-        .orderBy(F.xxhash64("doc_id"), "doc_id")
-        .limit(TARGET_ROWS)
-    )
+    good = labels.filter((F.col(label) == 1) & F.col("doc_id").isNotNull()).select("doc_id")
+    good = lowest_hashes(good.distinct(), TARGET_ROWS, "doc_id")
     target = _counts(docs.join(F.broadcast(good), "doc_id", "left_semi"))
     if not target.any():
         return np.zeros(len(target))

@@ -27,7 +27,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tarmac.llm.texts import slices, small_batches, split_words, word_hashes
+from tarmac.llm.texts import distinct, hash_share, slices, small_batches, split_words, word_hashes
 from tarmac.llm.toxicity import id_fold
 
 TRAIN_ROWS = 400
@@ -194,9 +194,11 @@ def _sample(docs: DataFrame, folds: int, held_out: int) -> DataFrame:
         F.col("lang").isNotNull() & F.col("text").isNotNull() & (id_fold(F.col("doc_id"), folds) != held_out)
     ).select("doc_id", "lang")
     common = rows.groupBy("lang").count().orderBy(F.desc("count"), "lang").limit(MOST_LANGUAGES)
-    order = Window.partitionBy("lang").orderBy(F.xxhash64("doc_id"), "doc_id")
+    order = Window.partitionBy("lang").orderBy(hash_share("doc_id"), "doc_id")
+    # Twice as many as wanted pass by their hash, so few rows of a language meet.
     return (
-        rows.join(F.broadcast(common.select("lang")), "lang")
+        rows.join(F.broadcast(common), "lang")
+        .filter(hash_share("doc_id") <= 2.0 * TRAIN_ROWS / F.col("count"))
         .withColumn("n", F.row_number().over(order))
         .filter(F.col("n") <= TRAIN_ROWS)
         .select("doc_id", "lang")
@@ -258,9 +260,7 @@ class _WordTable:
         self.logs = np.zeros((0, self.chance.shape[1]), np.float32)
 
     def of(self, words) -> np.ndarray:
-        hashes, first, which = np.unique(
-            word_hashes(words), return_index=True, return_inverse=True
-        )
+        hashes, first, which = distinct(word_hashes(words))
         if len(self.keys) > _CACHE_WORDS:
             self._forget()
         at = np.searchsorted(self.keys, hashes)
@@ -269,6 +269,7 @@ class _WordTable:
         known[inside] = self.keys[at[inside]] == hashes[inside]
         new = np.flatnonzero(~known)
         if len(new):
+            new = new[np.argsort(hashes[new])]
             found = word_logs([words.bytes_of(k) for k in first[new]], self.pieces, self.chance)
             place = at[new]
             self.keys = np.insert(self.keys, place, hashes[new])

@@ -210,6 +210,7 @@ def _with_leader(buckets: DataFrame) -> DataFrame:
         .agg(F.min("node").alias("leader"), F.count(F.lit(1)).alias("n"))
         .filter("n > 1")
         .select("key", "leader")
+        .checkpoint()  # apart from the join, which can then split a hot key
     )
     return buckets.join(leaders, "key")
 
@@ -263,6 +264,7 @@ def _further_pairs(members: DataFrame, tried: DataFrame, labels: DataFrame) -> t
         )
         .filter("parts > 1")
         .select("key", F.col("top.most").alias("most"), (F.col("n") - F.col("top.n")).alias("others"))
+        .checkpoint()
     )
     away = away.join(mixed, "key").checkpoint()
     others = away.filter((F.col("others") <= CROWD) & (F.col("label") != F.col("most")))

@@ -10,10 +10,11 @@ from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 import pyarrow.compute as pc
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 #: Bytes of text that one step works on; a longer single text is a step of its own.
@@ -67,6 +68,22 @@ def with_row(docs: DataFrame, *columns: str) -> DataFrame:
     return small_batches(docs).select(row, *columns)
 
 
+def hash_share(*columns: str) -> Column:
+    """A number from 0 to 1 that depends on the columns only."""
+    return F.shiftrightunsigned(F.xxhash64(*columns), 1) / F.lit(2.0**63)
+
+
+def lowest_hashes(rows: DataFrame, n: int, column: str) -> DataFrame:
+    """The ``n`` rows whose ``column``, which is to be distinct, hashes lowest.
+
+    Twice as many are let through by their hash beforehand, so that no task gets more than
+    about 2n rows however many there are; n should be some hundreds at least.
+    """
+    total = max(1, rows.count())
+    near = rows.filter(hash_share(column) <= 2.0 * n / total)
+    return near.orderBy(hash_share(column), column).limit(n)
+
+
 def mix(h: np.ndarray) -> np.ndarray:
     """Spread the bits of 64-bit values, one to one."""
     h = (h ^ (h >> np.uint64(30))) * _MIX1
@@ -167,6 +184,15 @@ def word_hashes(words: Words, seed: int = 0) -> np.ndarray:
     return h
 
 
+def distinct(hashes: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Distinct values in order of first appearance, where each appears first, and the
+    number of each value's own."""
+    which, values = pd.factorize(hashes)
+    first = np.empty(len(values), np.int64)
+    first[which[::-1]] = np.arange(len(hashes) - 1, -1, -1)
+    return values, first, which
+
+
 def window_hashes(values: np.ndarray, width: int, base: np.uint64 = BASES[0]) -> np.ndarray:
     """Hash of ``values[i:i + width]`` for each i that has so many, whatever text
     they belong to; callers leave out windows that leave their text."""

@@ -26,7 +26,15 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tarmac.llm.texts import ALNUM, mix, slices, small_batches, split_words, word_hashes
+from tarmac.llm.texts import (
+    ALNUM,
+    lowest_hashes,
+    mix,
+    slices,
+    small_batches,
+    split_words,
+    word_hashes,
+)
 
 #: Most rows of either label in the training sample.
 TRAIN_ROWS = 4000
@@ -166,9 +174,7 @@ def _sample(labels: DataFrame, label: str) -> DataFrame:
         .agg(F.max(label).alias("label"))
         .withColumn("order", F.xxhash64("doc_id"))
     )
-    picks = [
-        one.filter(F.col("label") == k).orderBy("order", "doc_id").limit(TRAIN_ROWS) for k in (0, 1)
-    ]
+    picks = [lowest_hashes(one.filter(F.col("label") == k), TRAIN_ROWS, "doc_id") for k in (0, 1)]
     return picks[0].unionByName(picks[1])
 
 
