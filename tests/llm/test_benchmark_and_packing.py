@@ -7,6 +7,7 @@ from collections import defaultdict
 from zlib import crc32
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -116,6 +117,15 @@ def test_tokens_and_pieces_round_trip(spark, sf_dir):
     assert padding <= 0.02 * sum(r.doc_tokens for own in pieces.values() for r in own[:1])
 
 
+def test_tokens_of_odd_words_match_the_tokenizer():
+    tokens = packing.WordTokens(queries.vocabulary("word_bpe_49k.json"))
+    texts = ["plain words, isn't it?", "e\u0301 ſ ß İ\u00a0x \u2028 y", "<|startoftext|>a <|endoftext|> b<|", None, "", "\x00 \x1c z"]
+    for own in (texts, texts[:2], texts):  # with and without the special token; known words
+        ids, counts = tokens.of(pa.array(own, pa.string()))
+        want = [tokens.encode.encode(t or "", add_special_tokens=False).ids + [2] for t in own]
+        assert counts.tolist() == [len(w) for w in want] and ids.tolist() == sum(want, [])
+
+
 def test_cuts_are_optimal(monkeypatch):
     monkeypatch.setattr(packing, "LENGTH", 12)
     monkeypatch.setattr(packing, "_POWERS", (1, 2, 4, 8))
