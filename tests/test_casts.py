@@ -27,6 +27,13 @@ def cast_one(session, text, dtype, **options):
         ("0.00", "tinyint", 0),
         ("1.00", "tinyint", 1),
         ("0005", "int", 5),
+        ("-0.00", "tinyint", 0),
+        ("7.", "smallint", 7),
+        (".00", "int", 0),
+        (" 12.00 ", "int", 12),
+        ("1e2", "int", 100),
+        ("-127.000", "tinyint", -127),
+        ("3.4028234e38", "float", 3.4028234663852886e38),
         (" 12 ", "int", 12),
         ("-128", "tinyint", -128),
         ("2147483647", "int", 2147483647),
@@ -55,6 +62,14 @@ def test_accepted(session, text, dtype, value):
         ("2147483648", "int"),
         ("abc", "int"),
         ("1d", "float"),
+        ("1.2.00", "int"),
+        ("128.00", "tinyint"),
+        (".", "int"),
+        ("1e39", "float"),
+        ("-1e39", "float"),
+        ("Infinity", "float"),
+        ("-inf", "float"),
+        ("1.00d", "int"),
         ("7F", "int"),
         ("x", "float"),
     ],
