@@ -397,6 +397,10 @@ where carrier_code in ('{CARRIERS[1]}', '{CARRIERS[2]}', '{CARRIERS[3]}', '{UNLA
         f"select Code, Description from ({LOOKUP_SQL['l_unique_carriers']})"
         f" where Code = '{CARRIERS[1]}'"
     ),
+    "market_id_list": (
+        f"select Code, Description from ({LOOKUP_SQL['l_city_market_id']})"
+        " where Code in ('30000', '30001', '30002', '30005', '30009')"
+    ),
     "origin_head": f"""{RAW}
 select cast(OriginAirportID as bigint) as OriginAirportID,
  cast(OriginAirportSeqID as bigint) as OriginAirportSeqID,

@@ -327,6 +327,14 @@ def carrier_equals(t: Tables) -> DataFrame:
     )
 
 
+@query
+def market_id_list(t: Tables) -> DataFrame:
+    """A lookup's rows for a list of ids, of which some have none."""
+    codes_wanted = [str(30000 + i) for i in (0, 1, 2, 5, 9)]
+    rows = t.raw_lookup("l_city_market_id").filter(F.col("Code").isin(*codes_wanted))
+    return rows.select("Code", "Description")
+
+
 @query
 def origin_head(t: Tables) -> DataFrame:
     columns = [c for c in FIELDS if c.startswith("Origin")]

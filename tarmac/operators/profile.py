@@ -8,7 +8,7 @@ from pyspark.sql import types as T
 
 from tarmac.functions.rates import percent
 from tarmac.functions.sqltext import column_name, text_literal
-from tarmac.session import ensure_checkpoint_dir
+from tarmac.session import scratch_folder
 
 
 def shape(df: DataFrame) -> DataFrame:
@@ -165,23 +165,29 @@ def numeric_summary(df: DataFrame, exact: bool = True) -> DataFrame:
 
     The exact form reads the source once, into counts per distinct value:
     repeated values collapse on the map side however often they occur. The
-    counts are range-partitioned and checkpointed, since their partition
-    number is used as data and must not change if a task is run again.
-    ``exact=False`` uses quantile sketches and needs no checkpoint.
+    counts are range-partitioned and written to a scratch folder, since their
+    partition number is used as data and must not change if a task is run again;
+    the folder is removed once the summary, a row per column, is known. The same
+    counts give the moments: a wide aggregate of its own over all columns was
+    measured to take as long as the whole summary. ``exact=False`` uses quantile
+    sketches and writes nothing.
     """
     spark = df.sparkSession
     names = numeric_columns(df)
     values = _long_values(df, names)
     if exact:
-        ensure_checkpoint_dir(spark)
-        freq = (
+        counts = (
             values.groupBy("pos", "value")
             .agg(F.count("*").alias("n"))
             .repartitionByRange("pos", "value")
             .withColumn("part", F.spark_partition_id())
-            .checkpoint()
         )
-        measures = _moments(freq).join(_exact_quantiles(freq), "pos")
+        with scratch_folder(spark) as root:
+            counts.write.parquet(root)
+            freq = spark.read.parquet(root)
+            found = _moments(freq).join(_exact_quantiles(freq), "pos")
+            rows = found.collect()  # one row per column
+        measures = spark.createDataFrame(rows, found.schema)
     else:
         quartiles = F.percentile_approx("value", list(QUANTILES.values()), 10_000)
         measures = values.groupBy("pos").agg(

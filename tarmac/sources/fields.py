@@ -3,101 +3,96 @@
 from __future__ import annotations
 
 # Field names and types in file order.
-_BASE_FIELDS = """
-Year smallint
-Quarter tinyint
-Month tinyint
-DayofMonth tinyint
-DayOfWeek tinyint
-FlightDate string
-Reporting_Airline string
-DOT_ID_Reporting_Airline int
-IATA_CODE_Reporting_Airline string
-Tail_Number string
-Flight_Number_Reporting_Airline int
-OriginAirportID int
-OriginAirportSeqID int
-OriginCityMarketID int
-Origin string
-OriginCityName string
-OriginState string
-OriginStateFips string
-OriginStateName string
-OriginWac smallint
-DestAirportID int
-DestAirportSeqID int
-DestCityMarketID int
-Dest string
-DestCityName string
-DestState string
-DestStateFips string
-DestStateName string
-DestWac smallint
-CRSDepTime int
-DepTime int
-DepDelay float
-DepDelayMinutes float
-DepDel15 tinyint
-DepartureDelayGroups tinyint
-DepTimeBlk string
-TaxiOut float
-WheelsOff int
-WheelsOn int
-TaxiIn float
-CRSArrTime int
-ArrTime int
-ArrDelay float
-ArrDelayMinutes float
-ArrDel15 tinyint
-ArrivalDelayGroups tinyint
-ArrTimeBlk string
-Cancelled tinyint
-CancellationCode string
-Diverted tinyint
-CRSElapsedTime float
-ActualElapsedTime float
-AirTime float
-Flights tinyint
-Distance float
-DistanceGroup tinyint
-CarrierDelay float
-WeatherDelay float
-NASDelay float
-SecurityDelay float
-LateAircraftDelay float
-FirstDepTime int
-TotalAddGTime float
-LongestAddGTime float
-DivAirportLandings tinyint
-DivReachedDest tinyint
-DivActualElapsedTime float
-DivArrDelay float
-DivDistance float
-"""
+_BASE_FIELDS = {
+    "Year": "smallint",
+    "Quarter": "tinyint",
+    "Month": "tinyint",
+    "DayofMonth": "tinyint",
+    "DayOfWeek": "tinyint",
+    "FlightDate": "string",
+    "Reporting_Airline": "string",
+    "DOT_ID_Reporting_Airline": "int",
+    "IATA_CODE_Reporting_Airline": "string",
+    "Tail_Number": "string",
+    "Flight_Number_Reporting_Airline": "int",
+    "OriginAirportID": "int",
+    "OriginAirportSeqID": "int",
+    "OriginCityMarketID": "int",
+    "Origin": "string",
+    "OriginCityName": "string",
+    "OriginState": "string",
+    "OriginStateFips": "string",
+    "OriginStateName": "string",
+    "OriginWac": "smallint",
+    "DestAirportID": "int",
+    "DestAirportSeqID": "int",
+    "DestCityMarketID": "int",
+    "Dest": "string",
+    "DestCityName": "string",
+    "DestState": "string",
+    "DestStateFips": "string",
+    "DestStateName": "string",
+    "DestWac": "smallint",
+    "CRSDepTime": "int",
+    "DepTime": "int",
+    "DepDelay": "float",
+    "DepDelayMinutes": "float",
+    "DepDel15": "tinyint",
+    "DepartureDelayGroups": "tinyint",
+    "DepTimeBlk": "string",
+    "TaxiOut": "float",
+    "WheelsOff": "int",
+    "WheelsOn": "int",
+    "TaxiIn": "float",
+    "CRSArrTime": "int",
+    "ArrTime": "int",
+    "ArrDelay": "float",
+    "ArrDelayMinutes": "float",
+    "ArrDel15": "tinyint",
+    "ArrivalDelayGroups": "tinyint",
+    "ArrTimeBlk": "string",
+    "Cancelled": "tinyint",
+    "CancellationCode": "string",
+    "Diverted": "tinyint",
+    "CRSElapsedTime": "float",
+    "ActualElapsedTime": "float",
+    "AirTime": "float",
+    "Flights": "tinyint",
+    "Distance": "float",
+    "DistanceGroup": "tinyint",
+    "CarrierDelay": "float",
+    "WeatherDelay": "float",
+    "NASDelay": "float",
+    "SecurityDelay": "float",
+    "LateAircraftDelay": "float",
+    "FirstDepTime": "int",
+    "TotalAddGTime": "float",
+    "LongestAddGTime": "float",
+    "DivAirportLandings": "tinyint",
+    "DivReachedDest": "tinyint",
+    "DivActualElapsedTime": "float",
+    "DivArrDelay": "float",
+    "DivDistance": "float",
+}
 
 # The block repeated for each diversion slot.
-_SLOT_FIELDS = """
-Airport string
-AirportID int
-AirportSeqID int
-WheelsOn int
-TotalGTime float
-LongestGTime float
-WheelsOff int
-TailNum string
-"""
+_SLOT_FIELDS = {
+    "Airport": "string",
+    "AirportID": "int",
+    "AirportSeqID": "int",
+    "WheelsOn": "int",
+    "TotalGTime": "float",
+    "LongestGTime": "float",
+    "WheelsOff": "int",
+    "TailNum": "string",
+}
 
 DIVERSION_SLOTS = range(1, 6)
 
-
-def _pairs(text: str) -> list[tuple[str, str]]:
-    return [tuple(line.split()) for line in text.split("\n") if line]
-
-
-FIELDS: dict[str, str] = dict(_pairs(_BASE_FIELDS)) | {
+FIELDS: dict[str, str] = _BASE_FIELDS | {
     f"Div{slot}{name}": dtype
     for slot in DIVERSION_SLOTS
-    for name, dtype in _pairs(_SLOT_FIELDS)
+    for name, dtype in _SLOT_FIELDS.items()
 }
 
 FIELD_COUNT = 109

@@ -1,3 +1,5 @@
+from pathlib import Path
+
 import numpy as np
 import pandas as pd
 import pytest
@@ -6,6 +8,7 @@ from pyspark.sql import functions as F
 from checks.queries import REGISTRY, Tables
 from tarmac.operators import diversions, duplicates, labels, profile, quality
 from tarmac.operators.staging import flight_outcome
+from tarmac.session import ensure_checkpoint_dir
 
 SIX = "Diverted int, Cancelled int, DepTime int, WheelsOff int, DivAirportLandings int"
 
@@ -188,6 +191,13 @@ def test_exact_summary_over_many_range_partitions(spark, numbers):
     np.testing.assert_allclose(mine.to_numpy(), quartiles.to_numpy(), rtol=1e-12)
 
 
+def test_exact_summary_leaves_no_files(spark, numbers):
+    root = Path(ensure_checkpoint_dir(spark).removeprefix("file:"))
+    before = set(root.rglob("*.parquet"))
+    profile.numeric_summary(numbers[1]).collect()
+    assert set(root.rglob("*.parquet")) == before
+
+
 def test_sketched_summary_is_close(numbers):
     frame, df = numbers
     found = profile.numeric_summary(df, exact=False).toPandas().set_index("column")
