@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from tarmac.llm import decontaminate, exact_dedup, near_dedup, packing, toxicity
 from tarmac.llm.queries import given, vocabulary
-from tarmac.session import ensure_checkpoint_dir
+from tarmac.session import ensure_checkpoint_dir, remove_folder
 
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 
@@ -57,10 +57,16 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All stages over ``documents``, each written to the shared folder and read again."""
+    """All stages over ``documents``, each written to the shared folder and read again.
+
+    A stage's table is removed once the next one is written; the last one stays.
+    """
     root = f"{ensure_checkpoint_dir(spark).rstrip('/')}/pipeline-{uuid.uuid4().hex}"
-    docs = given(spark, sf_dir, "documents")
+    docs, before = given(spark, sf_dir, "documents"), None
     for name, stage in STAGES:
-        stage(spark, docs, sf_dir).write.parquet(f"{root}/{name}")
-        docs = spark.read.parquet(f"{root}/{name}")
+        path = f"{root}/{name}"
+        stage(spark, docs, sf_dir).write.parquet(path)
+        if before:
+            remove_folder(spark, before)
+        docs, before = spark.read.parquet(path), path
     return docs

@@ -46,10 +46,11 @@ _KNOWN_SHAPES = re.compile(
     | sha(?:1|224|256|384|512)[-=][A-Za-z0-9+/]+=*             # integrity digests
     | [0-9a-fA-F]{8}-(?:[0-9a-fA-F]{4}-){3}[0-9a-fA-F]{12}     # UUIDs
     | [0-9+/_=-]+                                              # numbers, rules
-    | (?:[+/_=-]*(?:[A-Z]?[a-z]+|[A-Z]+)[0-9]{0,4})+[+/_=-]*   # words joined to a name
+    | (?:[+/_=-]*+(?:[A-Z]?[a-z]++|[A-Z]++)[0-9]{0,4}+)++[+/_=-]*+  # words joined to a name
     """,
     re.VERBOSE,
 )
+_PART = 4096
 _WORD_PART = re.compile(r"[A-Z]?[a-z]+|[A-Z]+")
 #: A name is made of words: at least so many letters a part, on average.
 _NAME_PART = 3.5
@@ -86,7 +87,10 @@ def find_spans(text: str, encode) -> list[tuple[int, int, int]]:
         low, high = m.span()
         if any(a < high and low < b for a, _, b in taken) or known_shape(m[0]):
             continue
-        if high - low < MOST_RATIO * len(encode(m[0])):
+        # Long runs are encoded in parts: encoding one string of letters may take
+        # quadratic time.
+        tokens = sum(len(encode(text[k : min(high, k + _PART)])) for k in range(low, high, _PART))
+        if high - low < MOST_RATIO * tokens:
             found.append((low, 3, high))
     return sorted(found)
 

@@ -56,6 +56,16 @@ def test_random_strings_stand_out_and_known_shapes_do_not(encode):
     assert [s for s in fine if kinds(s, encode)] == []
 
 
+def test_long_runs_take_linear_time(encode):
+    letters = "".join(random.choices(string.ascii_lowercase, k=60_000))
+    assert secret_scan.known_shape(letters) and not secret_scan.known_shape(letters + "123456")
+    for text in (letters, letters + "123456", "x" * 300_000 + "99999", "aB3_" * 50_000):
+        secret_scan.find_spans(text, encode)
+    random.seed(3)
+    noise = "".join(random.choices(string.ascii_letters + string.digits, k=100_000))
+    assert kinds(noise, encode) == [("random", noise)]
+
+
 def test_secret_query_matches_brute_force(spark, sf_dir):
     patterns = [
         ("assign", re.compile(r"((?:[pP][aA][sS][sS][wW][oO][rR][dD])|(?:[pP][aA][sS][sS][wW][dD])|(?:[sS][eE][cC][rR][eE][tT])|(?:[tT][oO][kK][eE][nN])|(?:[aA][pP][iI]_?[kK][eE][yY]))[\"']?\x20*[:=]\x20*[\"']?([A-Za-z0-9+/_.=-]+)"), 2, 8),
