@@ -35,12 +35,24 @@ def text_digest(text: Column) -> Column:
 
 
 class DigestIndex:
-    """The index table ``name``: digest, the doc_id that stays for it, its batch."""
+    """The index table ``name``: digest, the doc_id that stays for it, its batch.
 
-    def __init__(self, spark: SparkSession, name: str | None = None, buckets: int = 32):
+    A new index gets ``buckets`` buckets, by default as many as the session has shuffle
+    partitions. While these are no more than the buckets, a batch is shuffled to the
+    index and the index, however large, is read in place.
+    """
+
+    def __init__(self, spark: SparkSession, name: str | None = None, buckets: int | None = None):
         self.spark = spark
         self.name = name or f"digest_index_{uuid.uuid4().hex}"
-        self.buckets = buckets
+        self.buckets = self._stored_buckets() or buckets
+        self.buckets = self.buckets or int(spark.conf.get("spark.sql.shuffle.partitions"))
+
+    def _stored_buckets(self) -> int | None:
+        if not self.spark.catalog.tableExists(self.name):
+            return None
+        facts = self.spark.sql(f"DESCRIBE TABLE EXTENDED {self.name}").collect()
+        return next(int(r["data_type"]) for r in facts if r["col_name"] == "Num Buckets")
 
     def rows(self) -> DataFrame:
         if not self.spark.catalog.tableExists(self.name):

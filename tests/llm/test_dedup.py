@@ -37,6 +37,25 @@ def test_index_keeps_texts_of_earlier_batches(spark, table):
         index.drop()
 
 
+def test_a_batch_goes_to_the_index_and_not_the_other_way(spark, sf_dir):
+    docs = queries.given(spark, sf_dir, "documents")
+    index = exact_dedup.DigestIndex(spark, buckets=6)
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        index.ingest(docs.limit(50)).count()
+        again = exact_dedup.DigestIndex(spark, index.name, buckets=99)
+        assert again.buckets == 6
+        groups = docs.groupBy(exact_dedup.text_digest(F.col("text")).alias("digest")).count()
+        novel = groups.join(again.rows().hint("merge"), "digest", "left_anti")
+        plan = novel._jdf.queryExecution().executedPlan().toString()
+        assert "SortMergeJoin" in plan
+        index_side = plan.split("+- Sort [digest")[-1]
+        assert "SelectedBucketsCount: 6 out of 6" in index_side and "Exchange" not in index_side
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+        index.drop()
+
+
 def test_exact_dedup_takes_awkward_rows(awkward, empty):
     kept = exact_dedup.distinct_texts(awkward)
     assert kept.columns == awkward.columns
