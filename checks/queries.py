@@ -508,7 +508,8 @@ def lookup_round_trip(t: Tables) -> DataFrame:
     with scratch_folder(t.spark) as root:
         for name in MODELLED_LOOKUPS:
             rows = lookups.drop_metadata(t.raw_lookup(name))
-            rows.write.options(header=True, **headers.CSV_QUOTING).csv(f"{root}/csv/{name.upper()}.csv")
+            path = f"{root}/csv/{name.upper()}.csv"
+            rows.write.options(header=True, **headers.CSV_QUOTING).csv(path)
         names = [name.upper() for name in MODELLED_LOOKUPS]
         lookups.load_lookups(t.spark, f"{root}/csv", f"{root}/lookups", names)
         lookups.register_lookups(t.spark, f"{root}/lookups")
@@ -523,15 +524,16 @@ def lookup_round_trip(t: Tables) -> DataFrame:
 @query
 def header_report(t: Tables) -> DataFrame:
     """``header_problems`` again, from the header lines of files."""
-    kept = _sample_headers(t).groupBy("sample").agg(
-        F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("i", "column"))), lambda c: c["column"]), ",").alias("value")
-    )
+    cells = F.array_sort(F.collect_list(F.struct("i", "column")))
+    names = F.array_join(F.transform(cells, lambda c: c["column"]), ",")
+    kept = _sample_headers(t).groupBy("sample").agg(names.alias("value"))
     with scratch_folder(t.spark) as root:
         lines = kept.select("sample", F.concat("value", F.lit(",Extra,")).alias("value"))
         lines.write.partitionBy("sample").text(root)
         paths = [f"{root}/sample={r.sample}" for r in kept.select("sample").collect()]
         report = headers.header_report(t.spark, paths)
-        return report.withColumn("file", F.regexp_extract("file", "sample=([0-9]+)", 1)).checkpoint()
+        sample = F.regexp_extract("file", "sample=([0-9]+)", 1)
+        return report.withColumn("file", sample).checkpoint()
 
 
 @query

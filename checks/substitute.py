@@ -243,7 +243,8 @@ _MARKET_CODE = (
 
 LOOKUP_SQL = {
     "l_unique_carriers": f"""
- select {_CARRIER_CODE} as Code, min(s_name) as Description from supplier group by {_CARRIER_CODE}""",
+ select {_CARRIER_CODE} as Code, min(s_name) as Description
+ from supplier group by {_CARRIER_CODE}""",
     "l_cancellation": """
  select substr('ABCD',cast(1+p_partkey%4 as int),1) as Code,
   min(case p_partkey%4 when 0 then 'Carrier' when 1 then 'Weather'

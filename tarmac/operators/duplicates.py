@@ -50,9 +50,8 @@ def group_report(
     a key has at most as many rows as there are carriers. ``by`` may test both
     counts; it is applied before any set is built.
     """
-    counted = (
-        _complete(df, keys).groupBy(*keys, F.col(carrier).alias("carrier")).agg(F.count("*").alias("n"))
-    )
+    by_carrier = _complete(df, keys).groupBy(*keys, F.col(carrier).alias("carrier"))
+    counted = by_carrier.agg(F.count("*").alias("n"))
     carriers = F.array_sort(F.collect_list("carrier")).alias("carriers")
     if by is None:
         found = counted.groupBy(*keys).agg(F.sum("n").alias("n_rows"), carriers)

@@ -50,7 +50,8 @@ def attach_label(
     key, text = lookup.columns
     side = lookup.select(F.col(key).alias("_code"), F.col(text).alias(label))
     if small:
-        return df.join(F.broadcast(side), code.cast("string") == F.col("_code"), "left").drop("_code")
+        same = code.cast("string") == F.col("_code")
+        return df.join(F.broadcast(side), same, "left").drop("_code")
     spread = F.concat(F.lit(_NO_CODE), F.monotonically_increasing_id() % _NULL_KEYS)
     keyed = df.withColumn("_key", F.coalesce(code.cast("string"), spread))
     side = side.filter(~F.col("_code").startswith(_NO_CODE))
