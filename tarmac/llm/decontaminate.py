@@ -209,9 +209,10 @@ def _search_shards(probes) -> object:
 
 def _covered(spans: Column) -> Column:
     """Words in the union of spans, which may overlap."""
-    zero = F.struct(F.lit(0).cast("long").alias("n"), F.lit(0).cast("long").alias("end"))
+    none = F.lit(0).cast("long")
+    zero = F.struct(none.alias("n"), none.alias("end"))
     step = lambda a, s: F.struct(
-        (a["n"] + F.greatest(F.lit(0).cast("long"), s["end"] - F.greatest(s["start"], a["end"]))).alias("n"),
+        (a["n"] + F.greatest(none, s["end"] - F.greatest(s["start"], a["end"]))).alias("n"),
         F.greatest(a["end"], s["end"]).alias("end"),
     )
     return F.aggregate(F.array_sort(spans), zero, step)["n"]

@@ -89,7 +89,9 @@ class DigestIndex:
         known = self.rows().hint("merge")
         novel = groups.join(known, "digest", "left_anti")
         self._append(
-            novel.select("digest", F.col("first.doc_id").alias("keep_id"), F.lit(batch).alias("batch"))
+            novel.select(
+                "digest", F.col("first.doc_id").alias("keep_id"), F.lit(batch).alias("batch")
+            )
         )
         verdicts = groups.join(self.rows().hint("merge"), "digest").select(
             "digest",

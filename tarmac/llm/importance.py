@@ -140,7 +140,8 @@ def kth_greatest(rows: DataFrame, column: str, k: int) -> tuple[int, int]:
         shift = 48 - 16 * step
         digit = F.shiftright(column, shift)
         own = rows if step == 0 else rows.filter(F.shiftright(column, shift + 16) == value)
-        counts = {r["digit"]: r["n"] for r in own.groupBy(digit.alias("digit")).agg(F.count(F.lit(1)).alias("n")).collect()}
+        counted = own.groupBy(digit.alias("digit")).agg(F.count(F.lit(1)).alias("n"))
+        counts = {r["digit"]: r["n"] for r in counted.collect()}
         for value in sorted(counts, reverse=True):
             if greater + counts[value] >= k:
                 break
@@ -148,7 +149,9 @@ def kth_greatest(rows: DataFrame, column: str, k: int) -> tuple[int, int]:
     return value, greater
 
 
-def resample(docs: DataFrame, labels: DataFrame, share: float | None = None, label: str = "quality") -> DataFrame:
+def resample(
+    docs: DataFrame, labels: DataFrame, share: float | None = None, label: str = "quality"
+) -> DataFrame:
     """A row for each row of ``docs``: _row, doc_id, log_weight, noisy, selected."""
     ensure_checkpoint_dir(docs.sparkSession)
     weighed = weigh(docs, log_ratios(docs, labels, label)).checkpoint()

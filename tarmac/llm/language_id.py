@@ -141,7 +141,8 @@ def _by_length(words: list[bytes]) -> Iterator[tuple[np.ndarray, list[bytes]]]:
     at = 0
     while at < len(order):
         own = size[order[at]]
-        end = min(int(np.searchsorted(size[order], own, side="right")), at + max(1, _BLOCK // (own + 1)))
+        end = int(np.searchsorted(size[order], own, side="right"))
+        end = min(end, at + max(1, _BLOCK // (own + 1)))
         yield order[at:end], [words[i] for i in order[at:end]]
         at = end
 
@@ -155,7 +156,9 @@ def word_logs(words: list[bytes], pieces: Pieces, chance: np.ndarray) -> np.ndar
     return out
 
 
-def learn(words: list[bytes], counts: np.ndarray, pieces: Pieces, rounds: int = ROUNDS) -> np.ndarray:
+def learn(
+    words: list[bytes], counts: np.ndarray, pieces: Pieces, rounds: int = ROUNDS
+) -> np.ndarray:
     """Piece probabilities of one language by expectation maximisation."""
     size = np.array([len(p) for p in pieces.pieces], float)
     chance = np.append(np.exp(-size) / np.exp(-size).sum(), 0)[:, None]
@@ -190,9 +193,9 @@ def _letters(column: pa.Array):
 
 def _sample(docs: DataFrame, folds: int, held_out: int) -> DataFrame:
     """(doc_id, lang) of the rows to learn from; its size is bounded."""
-    rows = docs.filter(
-        F.col("lang").isNotNull() & F.col("text").isNotNull() & (id_fold(F.col("doc_id"), folds) != held_out)
-    ).select("doc_id", "lang")
+    own = id_fold(F.col("doc_id"), folds) != held_out
+    rows = docs.filter(F.col("lang").isNotNull() & F.col("text").isNotNull() & own)
+    rows = rows.select("doc_id", "lang")
     common = rows.groupBy("lang").count().orderBy(F.desc("count"), "lang").limit(MOST_LANGUAGES)
     order = Window.partitionBy("lang").orderBy(hash_share("doc_id"), "doc_id")
     # Twice as many as wanted pass by their hash, so few rows of a language meet.
@@ -206,7 +209,9 @@ def _sample(docs: DataFrame, folds: int, held_out: int) -> DataFrame:
     )
 
 
-def train(docs: DataFrame, vocabulary_path: str, folds: int = 4, held_out: int = 2) -> dict[str, np.ndarray]:
+def train(
+    docs: DataFrame, vocabulary_path: str, folds: int = 4, held_out: int = 2
+) -> dict[str, np.ndarray]:
     """Piece probabilities of each language that the rows outside the fold ``held_out`` name."""
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -326,7 +331,9 @@ def identify(docs: DataFrame, model: dict[str, np.ndarray], vocabulary_path: str
     )
 
 
-def identify_held_out(docs: DataFrame, vocabulary_path: str, folds: int = 4, held_out: int = 2) -> DataFrame:
+def identify_held_out(
+    docs: DataFrame, vocabulary_path: str, folds: int = 4, held_out: int = 2
+) -> DataFrame:
     """doc_id, held_out, lang_pred, score; learned outside the fold ``held_out``."""
     model = train(docs, vocabulary_path, folds, held_out)
     fold = id_fold(F.col("doc_id"), folds) == held_out

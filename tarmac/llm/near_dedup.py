@@ -36,7 +36,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tarmac.llm.components import components
@@ -168,7 +168,8 @@ def _word_values(docs: DataFrame, wanted: DataFrame) -> DataFrame:
                 [batch.column("_row"), pa.array(packed, pa.binary())], ["node", "words"]
             )
 
-    rows = with_row(docs, "text").join(wanted.select(F.col("node").alias("_row")), "_row", "left_semi")
+    wanted = wanted.select(F.col("node").alias("_row"))
+    rows = with_row(docs, "text").join(wanted, "_row", "left_semi")
     return rows.mapInArrow(run, "node bigint, words binary")
 
 
@@ -189,13 +190,19 @@ def _compare(pairs: DataFrame, words: DataFrame) -> DataFrame:
         held, own = None, None
         for batch in batches:
             found = []
-            for a, x, y in zip(*(batch.column(c).to_pylist() for c in ("a", "words_a", "words_b"))):
+            columns = (batch.column(c).to_pylist() for c in ("a", "words_a", "words_b"))
+            for a, x, y in zip(*columns):
                 if a != held:
                     held, own = a, _unpack(x)
                 found.append(alignment(own, _unpack(y), THRESHOLD))
             jaccard, similarity = zip(*found) if found else ((), ())
             yield pa.RecordBatch.from_arrays(
-                [batch.column("a"), batch.column("b"), pa.array(jaccard, pa.float64()), pa.array(similarity, pa.float64())],
+                [
+                    batch.column("a"),
+                    batch.column("b"),
+                    pa.array(jaccard, pa.float64()),
+                    pa.array(similarity, pa.float64()),
+                ],
                 ["a", "b", "jaccard", "similarity"],
             )
 
@@ -228,7 +235,8 @@ def _sharp_buckets(members: DataFrame, words: DataFrame) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for node, packed in zip(batch.column("node").to_pylist(), batch.column("words").to_pylist()):
+            columns = (batch.column(c).to_pylist() for c in ("node", "words"))
+            for node, packed in zip(*columns):
                 keys = sketch(_unpack(packed), SHARP_COORDINATES, SHARP_PICKS)
                 yield pa.RecordBatch.from_pydict(
                     {"key": signed(keys), "node": np.full(len(keys), node)}
@@ -238,7 +246,9 @@ def _sharp_buckets(members: DataFrame, words: DataFrame) -> DataFrame:
     return words.join(nodes, "node", "left_semi").mapInArrow(run, "key bigint, node bigint")
 
 
-def _further_pairs(members: DataFrame, tried: DataFrame, labels: DataFrame) -> tuple[DataFrame, DataFrame]:
+def _further_pairs(
+    members: DataFrame, tried: DataFrame, labels: DataFrame
+) -> tuple[DataFrame, DataFrame]:
     """Steps 3 and 4: the pairs left to compare, and the members of crowded buckets."""
     away = (
         members.join(
@@ -263,14 +273,22 @@ def _further_pairs(members: DataFrame, tried: DataFrame, labels: DataFrame) -> t
             F.count(F.lit(1)).alias("parts"),
         )
         .filter("parts > 1")
-        .select("key", F.col("top.most").alias("most"), (F.col("n") - F.col("top.n")).alias("others"))
+        .select(
+            "key", F.col("top.most").alias("most"), (F.col("n") - F.col("top.n")).alias("others")
+        )
         .checkpoint()
     )
     away = away.join(mixed, "key").checkpoint()
     others = away.filter((F.col("others") <= CROWD) & (F.col("label") != F.col("most")))
     cells = F.floor(F.col("away") / (1 - THRESHOLD))
-    x = others.select("key", F.col("node").alias("x"), F.col("label").alias("x_label"), F.col("away").alias("x_away"), F.explode(F.sequence(cells - 1, cells + 1)).alias("cell"))
-    y = away.filter(F.col("others") <= CROWD).select("key", F.col("node").alias("y"), F.col("label").alias("y_label"), F.col("away").alias("y_away"), cells.alias("cell"))
+
+    def side(rows: DataFrame, name: str, cell: Column) -> DataFrame:
+        renamed = {"node": name, "label": f"{name}_label", "away": f"{name}_away"}
+        columns = [F.col(old).alias(new) for old, new in renamed.items()]
+        return rows.select("key", *columns, cell.alias("cell"))
+
+    x = side(others, "x", F.explode(F.sequence(cells - 1, cells + 1)))
+    y = side(away.filter(F.col("others") <= CROWD), "y", cells)
     pairs = (
         x.join(y, ["key", "cell"])
         .filter(

@@ -19,6 +19,7 @@ ids and rows are separate documents.
 from __future__ import annotations
 
 import os
+import re
 from collections import deque
 from collections.abc import Iterator
 from functools import lru_cache
@@ -63,7 +64,7 @@ class WordTokens:
             sorted(
                 i
                 for piece, i in self.encode.get_vocab().items()
-                if piece.endswith("</w>") and piece[0] in ".!?" and set(piece[:-4]) <= set(".!?\"')")
+                if re.fullmatch(r"[.!?][.!?\"')]*</w>", piece)
             ),
             np.uint32,
         )

@@ -110,9 +110,7 @@ def scan_secrets(docs: DataFrame, vocabulary_path: str, pattern: str) -> DataFra
         span = pa.struct([("kind", pa.string()), ("start", pa.int64()), ("end", pa.int64())])
         for batch in slices(batches, "text"):
             spans = [
-                [{"kind": KINDS[kind], "start": a, "end": b} for a, kind, b in find_spans(t, encode)]
-                if t
-                else []
+                [(KINDS[kind], a, b) for a, kind, b in find_spans(t or "", encode)]
                 for t in batch.column("text").to_pylist()
             ]
             yield pa.RecordBatch.from_arrays(

@@ -114,7 +114,8 @@ def _bytes_of_segments(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordB
         span = spans.flatten()
         start, end = (span.field(k).to_numpy() for k in ("start", "end"))
         raw = data.tobytes()
-        cut = [raw[a:b] for a, b in zip((start + begins[text]).tolist(), (end + begins[text]).tolist())]
+        first, last = (start + begins[text]).tolist(), (end + begins[text]).tolist()
+        cut = [raw[a:b] for a, b in zip(first, last)]
         yield pa.RecordBatch.from_arrays(
             [
                 span.field("anchor"),

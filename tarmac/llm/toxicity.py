@@ -5,9 +5,9 @@ The pairwise part learns what terms mean together, such as an insult and the men
 a group, which a sum of weights misses.
 
 The machine is fitted on a bounded sample: of the labelled rows given for learning, the
-``TRAIN_ROWS`` rows of either label whose ids hash lowest. Rows that agree in their
-three terms of least hash, as copies do, count once. Only terms that set the labels apart in the sample have weights, so
-the length of a text does not move its score.
+``TRAIN_ROWS`` rows of either label whose ids hash lowest. Rows that agree in their three
+terms of least hash, as copies do, count once. Only terms that set the labels apart in
+the sample have weights, so the length of a text does not move its score.
 
 A null text is empty; a text without weighted terms gets the base rate w0. Labels other
 than 0 and 1 are ignored, and a row with several labels counts as toxic if one of them is 1.
@@ -126,7 +126,8 @@ def fit_machine(rows: list[np.ndarray], labels: np.ndarray, seed: int = 7) -> Ma
     pooled = with_all / n
     spread = np.sqrt(pooled * (1 - pooled) * (1 / toxic + 1 / (n - toxic)))
     z = np.divide(share1 - share0, spread, out=np.zeros(BUCKETS), where=spread > 0)
-    terms = np.flatnonzero((np.abs(z) >= LEAST_Z) & (with_all >= 3) & (pooled <= MOST_SHARE))
+    telling = (np.abs(z) >= LEAST_Z) & (with_all >= 3) & (pooled <= MOST_SHARE)
+    terms = np.flatnonzero(telling)
     number = np.full(BUCKETS, -1)
     number[terms] = np.arange(len(terms))
     at, text_of = number[flat], text_of[number[flat] >= 0]
@@ -174,7 +175,8 @@ def _sample(labels: DataFrame, label: str) -> DataFrame:
         .agg(F.max(label).alias("label"))
         .withColumn("order", F.xxhash64("doc_id"))
     )
-    picks = [lowest_hashes(one.filter(F.col("label") == k), TRAIN_ROWS, "doc_id") for k in (0, 1)]
+    sides = [one.filter(F.col("label") == k) for k in (0, 1)]
+    picks = [lowest_hashes(side, TRAIN_ROWS, "doc_id") for side in sides]
     return picks[0].unionByName(picks[1])
 
 
@@ -211,7 +213,8 @@ def train(docs: DataFrame, labels: DataFrame, label: str = "toxic") -> Machine:
         return fit_machine([], np.zeros(0))
     ids = np.array(fitted[0]["terms"], np.int64)
     values = np.array(fitted[0]["values"])
-    return Machine(values[0], ids, values[1 : 1 + len(ids)], values[1 + len(ids) :].reshape(-1, FACTORS))
+    weight, factor = values[1 : 1 + len(ids)], values[1 + len(ids) :]
+    return Machine(values[0], ids, weight, factor.reshape(-1, FACTORS))
 
 
 def score_texts(docs: DataFrame, machine: Machine) -> DataFrame:
