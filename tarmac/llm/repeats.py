@@ -12,11 +12,13 @@ What is sent is sorted by key and walked in a stream that holds two rows.
 
 from __future__ import annotations
 
+import gc
 from collections.abc import Callable, Iterator
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tarmac.llm.texts import BASES, mix, signed
@@ -173,6 +175,23 @@ def settle(rows: DataFrame, keep_first: bool) -> DataFrame:
     return keyed.mapInArrow(_walk(keep_first), FOUND)
 
 
+def release_shuffles(spark: SparkSession) -> None:
+    """Have the shuffles removed that nothing refers to any more.
+
+    Spark removes them when the driver's garbage is collected, which may be long after a
+    checkpoint has made them useless, while the next ones already fill the disks.
+    """
+    gc.collect()
+    spark.sparkContext._jvm.System.gc()
+
+
 def by_row(found: DataFrame, name: str) -> DataFrame:
     """One row per text: its spans as the array ``name``."""
     return found.groupBy("_row").agg(F.collect_list(F.struct("start", "end")).alias(name))
+
+
+def repeats_by_row(*found: DataFrame) -> DataFrame:
+    """What repeats according to one or other result of ``settle``: one row per text with
+    its spans ``repeats``. One shuffle, so that a later join fetches from two only."""
+    settled = [f.filter(~F.col("mixed")).select("_row", "start", "end") for f in found]
+    return by_row(reduce(DataFrame.unionByName, settled), "repeats")

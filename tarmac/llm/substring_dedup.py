@@ -24,7 +24,16 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tarmac.llm.repeats import STRETCH, by_row, settle, span_hashes, stretches, union_of_spans
+from tarmac.llm.repeats import (
+    STRETCH,
+    by_row,
+    release_shuffles,
+    repeats_by_row,
+    settle,
+    span_hashes,
+    stretches,
+    union_of_spans,
+)
 from tarmac.llm.texts import (
     BASES,
     SPACED,
@@ -104,15 +113,15 @@ def _windows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def _cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Remove the spans ``repeats`` and ``more`` from the words of each text."""
+    """Remove the spans ``repeats`` from the words of each text."""
     span = pa.struct([("start", pa.int64()), ("end", pa.int64())])
     for batch in slices(batches, "text"):
         kept, removed, sizes = [], [], []
-        columns = (batch.column("repeats").to_pylist(), batch.column("more").to_pylist())
+        repeats = batch.column("repeats").to_pylist()
         texts = batch.column("text").cast(pa.large_binary()).to_pylist()
-        for text, one, two in zip(texts, *columns):
+        for text, own in zip(texts, repeats):
             words = (text or b"").split()  # bytes split at the same white space as SPACED
-            spans = union_of_spans([(s["start"], s["end"]) for s in (one or []) + (two or [])])
+            spans = union_of_spans([(s["start"], s["end"]) for s in own or []])
             edges = [0, *(x for s in spans for x in s), len(words)]
             parts = [words[a:b] for a, b in zip(edges[::2], edges[1::2])]
             kept.append(b" ".join(w for part in parts for w in part))
@@ -137,15 +146,11 @@ def remove_repeats(docs: DataFrame) -> DataFrame:
     texts = with_row(docs, "doc_id", "text")
     found = settle(texts.select("_row", "text").mapInArrow(_anchors, STRETCH), keep_first=False)
     found = found.checkpoint()
-    marked = (
-        texts.join(by_row(found.filter(~F.col("mixed")), "repeats"), "_row", "left")
-        .join(by_row(found.filter("mixed"), "unsettled"), "_row", "left")
-    )
+    release_shuffles(docs.sparkSession)
     # No column is left out here, so that both uses of the texts share one shuffle.
-    open_rows = marked.filter(F.col("unsettled").isNotNull())
+    open_rows = texts.join(by_row(found.filter("mixed"), "unsettled"), "_row")
     more = settle(open_rows.mapInArrow(_windows, STRETCH), keep_first=False)
-    more = by_row(more.filter(~F.col("mixed")), "more")
-    return marked.join(more, "_row", "left").mapInArrow(
+    return texts.join(repeats_by_row(found, more), "_row", "left").mapInArrow(
         _cut,
         "_row bigint, doc_id bigint, n_words bigint, "
         "removed array<struct<start: bigint, end: bigint>>, kept_text string",

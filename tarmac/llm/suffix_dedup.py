@@ -33,7 +33,8 @@ from tarmac.llm.gsaca import suffix_arrays
 from tarmac.llm.repeats import (
     PART,
     STRETCH,
-    by_row,
+    release_shuffles,
+    repeats_by_row,
     settle,
     settled_spans,
     span_hashes,
@@ -197,15 +198,15 @@ def _sort_suffixes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch
 
 
 def _cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Remove the spans ``repeats`` and ``more`` from the bytes of each text."""
+    """Remove the spans ``repeats`` from the bytes of each text."""
     span = pa.struct([("start", pa.int64()), ("end", pa.int64())])
     for batch in slices(batches, "text", PIECE_BYTES):
         kept, removed, sizes = [], [], []
-        columns = (batch.column("repeats").to_pylist(), batch.column("more").to_pylist())
+        repeats = batch.column("repeats").to_pylist()
         texts = batch.column("text").cast(pa.large_binary()).to_pylist()
-        for text, one, two in zip(texts, *columns):
+        for text, own in zip(texts, repeats):
             text = text or b""
-            spans = union_of_spans([(s["start"], s["end"]) for s in (one or []) + (two or [])])
+            spans = union_of_spans([(s["start"], s["end"]) for s in own or []])
             edges = [0, *(x for s in spans for x in s), len(text)]
             kept.append(b"".join(text[a:b] for a, b in zip(edges[::2], edges[1::2])))
             removed.append([{"start": a, "end": b} for a, b in spans])
@@ -232,22 +233,19 @@ def remove_repeats(docs: DataFrame) -> DataFrame:
     found = settle(
         texts.select("_row", "rank", "text").mapInArrow(_segments, STRETCH), keep_first=True
     ).checkpoint()
+    release_shuffles(docs.sparkSession)
     mixed = found.filter("mixed").groupBy("_row").agg(
         F.collect_set(F.struct("anchor", "part", "start", "end")).alias("unsettled")
     )
-    marked = texts.join(by_row(found.filter(~F.col("mixed")), "repeats"), "_row", "left").join(
-        mixed, "_row", "left"
-    )
     # No column is left out here, so that both uses of the texts share one shuffle.
     pieces = (
-        marked.filter(F.col("unsettled").isNotNull())
+        texts.join(mixed, "_row")
         .mapInArrow(_bytes_of_segments, _PIECES)
         .repartition("anchor", "part")
         .sortWithinPartitions("anchor", "part")
     )
     more = settle(pieces.mapInArrow(_sort_suffixes, STRETCH), keep_first=True)
-    more = by_row(more.filter(~F.col("mixed")), "more")
-    return marked.join(more, "_row", "left").mapInArrow(
+    return texts.join(repeats_by_row(found, more), "_row", "left").mapInArrow(
         _cut,
         "_row bigint, doc_id bigint, n_bytes bigint, "
         "removed array<struct<start: bigint, end: bigint>>, kept binary",

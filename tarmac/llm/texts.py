@@ -10,7 +10,6 @@ from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 import pyarrow.compute as pc
 import xxhash
@@ -187,6 +186,8 @@ def word_hashes(words: Words, seed: int = 0) -> np.ndarray:
 def distinct(hashes: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Distinct values in order of first appearance, where each appears first, and the
     number of each value's own."""
+    import pandas as pd  # here, as most tasks do without it
+
     which, values = pd.factorize(hashes)
     first = np.empty(len(values), np.int64)
     first[which[::-1]] = np.arange(len(hashes) - 1, -1, -1)
