@@ -145,7 +145,7 @@ def remove_repeats(docs: DataFrame) -> DataFrame:
     ensure_checkpoint_dir(docs.sparkSession)
     texts = with_row(docs, "doc_id", "text")
     found = settle(texts.select("_row", "text").mapInArrow(_anchors, STRETCH), keep_first=False)
-    found = found.checkpoint()
+    found = found.select("_row", "start", "end", "mixed").checkpoint()
     release_shuffles(docs.sparkSession)
     # No column is left out here, so that both uses of the texts share one shuffle.
     open_rows = texts.join(by_row(found.filter("mixed"), "unsettled"), "_row")
