@@ -184,7 +184,8 @@ def train(docs: DataFrame, labels: DataFrame, label: str = "toxic") -> Machine:
     """Fit on the rows of ``docs`` that ``labels`` (doc_id, ``label``) marks. The fit
     is one task over the sample, which ``TRAIN_ROWS`` bounds."""
     sample = F.broadcast(_sample(labels, label).select("doc_id", "label", "order"))
-    rows = small_batches(docs).select("doc_id", "text").join(sample, "doc_id").select("label", "order", "text")
+    rows = small_batches(docs).select("doc_id", "text").join(sample, "doc_id")
+    rows = rows.select("label", "order", "text")
 
     def terms(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches, "text"):
