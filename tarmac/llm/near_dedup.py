@@ -10,7 +10,8 @@ Similarity of two texts is m / (n1 + n2 - m), where n1, n2 count shingles and m
 most shingles that can be aligned in order. It is at most the Jaccard similarity J of the
 labelled shingles, and equal where edits leave the order alone. An alignment that reaches the
 threshold never strays further from the diagonal than the shingles it may leave out,
-so only matches in that band are aligned.
+so only matches in that band are aligned. A deleted occurrence shifts all later labels; where
+labels leave common shingles out of order, those without labels are aligned.
 
 No bucket is expanded into all its pairs:
 
@@ -59,18 +60,28 @@ THRESHOLD = 0.8
 COORDINATES, PICKS = 16, 3
 SHARP_COORDINATES, SHARP_PICKS = 40, 7
 CROWD = 64
+#: Occurrences from which the places of a shingle are kept as one number.
+_FREQUENT = 1000
 
 _rng = np.random.default_rng(20)
 _XOR = _rng.integers(0, 2**63, 64, dtype=np.uint64)
 _TIMES = _rng.integers(0, 2**63, 64, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 
 
+def plain_shingles(word_values: np.ndarray) -> np.ndarray:
+    """Hashes of the shingles in order."""
+    return window_hashes(word_values, max(1, min(len(word_values), SHINGLE)))
+
+
 def shingles(word_values: np.ndarray) -> np.ndarray:
     """Hashes of the shingles in order, each labelled with its occurrence."""
-    n = len(word_values)
-    if not n:
-        return np.zeros(0, np.uint64)
-    plain = window_hashes(word_values, min(n, SHINGLE))
+    return label_occurrences(plain_shingles(word_values))
+
+
+def label_occurrences(plain: np.ndarray) -> np.ndarray:
+    """The hashes, of which the first occurrence of each stays as it is."""
+    if not len(plain):
+        return plain
     order = np.argsort(plain, kind="stable")
     fresh = np.concatenate([[True], np.diff(plain[order]) != 0])
     if fresh.all():
@@ -101,9 +112,44 @@ def sketch(labelled: np.ndarray, coordinates: int, picks: int) -> np.ndarray:
     return out
 
 
-def alignment(a: np.ndarray, b: np.ndarray, threshold: float) -> tuple[float, float]:
+def longest_common(a: np.ndarray, b: np.ndarray) -> int:
+    """Most elements of ``a`` and ``b`` that can be matched in order."""
+    n = min(len(a), len(b))
+    differ = np.flatnonzero(a[:n] != b[:n])
+    head = int(differ[0]) if len(differ) else n
+    left = n - head
+    differ = np.flatnonzero(a[::-1][:left] != b[::-1][:left])
+    tail = int(differ[0]) if len(differ) else left
+    x, y = a[head : len(a) - tail].tolist(), b[head : len(b) - tail].tolist()
+    places: dict[int, list[int]] = {}
+    for j, value in enumerate(x):
+        places.setdefault(value, []).append(j)
+    frequent: dict[int, int] = {}
+    # A row of the dynamic program as the bits of one number: its steps are the zeros.
+    row = every = (1 << len(x)) - 1
+    for value in y:
+        own = places.get(value)
+        if not own:
+            continue
+        here = frequent.get(value)
+        if here is None:
+            bits = bytearray(len(x) // 8 + 1)
+            for j in own:
+                bits[j >> 3] |= 1 << (j & 7)
+            here = int.from_bytes(bits, "little")
+            if len(own) > _FREQUENT:
+                frequent[value] = here
+        match = row & here
+        row = ((row + match) | (row - match)) & every
+    return head + tail + len(x) - row.bit_count()
+
+
+def alignment(
+    a: np.ndarray, b: np.ndarray, threshold: float, plain: tuple[np.ndarray, np.ndarray] | None = None
+) -> tuple[float, float]:
     """Jaccard similarity of two labelled shingle sequences, and their similarity in
-    order; the latter is 0 where it cannot reach ``threshold``."""
+    order; the latter is 0 where it cannot reach ``threshold``. ``plain`` are the shingles
+    without labels, for texts that repeat some."""
     total = len(a) + len(b)
     common, in_a, in_b = np.intersect1d(a, b, assume_unique=True, return_indices=True)
     jaccard = len(common) / (total - len(common)) if total else 1.0
@@ -121,6 +167,10 @@ def alignment(a: np.ndarray, b: np.ndarray, threshold: float) -> tuple[float, fl
         aligned = len(tails)
     else:
         aligned = len(where)
+    # Labels pair equal occurrences only; no alignment has more than the common ones.
+    if aligned < len(common) and plain is not None:
+        if (plain[0] != a).any() or (plain[1] != b).any():
+            aligned = max(aligned, longest_common(*plain))
     return jaccard, aligned / (total - aligned) if total else 1.0
 
 
@@ -174,11 +224,11 @@ def _word_values(docs: DataFrame, wanted: DataFrame) -> DataFrame:
 
 
 def _unpack(words: bytes) -> np.ndarray:
-    """Labelled shingles of what ``_word_values`` packs, five bytes a word."""
+    """Shingles of what ``_word_values`` packs, five bytes a word."""
     raw = np.frombuffer(words, np.uint8).reshape(-1, 5)
     wide = np.zeros((len(raw), 8), np.uint8)
     wide[:, :5] = raw
-    return shingles(mix(wide.view("<u8").ravel()))
+    return plain_shingles(mix(wide.view("<u8").ravel()))
 
 
 def _compare(pairs: DataFrame, words: DataFrame) -> DataFrame:
@@ -187,14 +237,18 @@ def _compare(pairs: DataFrame, words: DataFrame) -> DataFrame:
     right = words.select(F.col("node").alias("b"), F.col("words").alias("words_b"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held, own = None, None
+        held, plain, own = None, None, None
         for batch in batches:
             found = []
             columns = (batch.column(c).to_pylist() for c in ("a", "words_a", "words_b"))
             for a, x, y in zip(*columns):
                 if a != held:
-                    held, own = a, _unpack(x)
-                found.append(alignment(own, _unpack(y), THRESHOLD))
+                    held, plain = a, _unpack(x)
+                    own = label_occurrences(plain)
+                other = _unpack(y)
+                found.append(
+                    alignment(own, label_occurrences(other), THRESHOLD, (plain, other))
+                )
             jaccard, similarity = zip(*found) if found else ((), ())
             yield pa.RecordBatch.from_arrays(
                 [
@@ -237,7 +291,7 @@ def _sharp_buckets(members: DataFrame, words: DataFrame) -> DataFrame:
         for batch in batches:
             columns = (batch.column(c).to_pylist() for c in ("node", "words"))
             for node, packed in zip(*columns):
-                keys = sketch(_unpack(packed), SHARP_COORDINATES, SHARP_PICKS)
+                keys = sketch(label_occurrences(_unpack(packed)), SHARP_COORDINATES, SHARP_PICKS)
                 yield pa.RecordBatch.from_pydict(
                     {"key": signed(keys), "node": np.full(len(keys), node)}
                 )

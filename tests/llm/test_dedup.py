@@ -269,6 +269,38 @@ def test_order_counts_for_similarity():
     assert near_dedup.alignment(a, a, 0.8) == (1.0, 1.0)
 
 
+def paged(seed, pages=5, header=30, body=60):
+    random.seed(seed)
+    top = random.choices([f"h{k}" for k in range(900)], k=header)
+    return [[*top, *random.choices([f"w{k}" for k in range(3000)], k=body)] for _ in range(pages)]
+
+
+def test_a_header_gone_once_leaves_the_rest_in_order(table):
+    pages = paged(12)
+    whole, less = sum(pages, []), sum([pages[0][30:], *pages[1:]], [])
+    a, b = (np.array([hash(w) & (2**63 - 1) for w in t], np.uint64) for t in (whole, less))
+    plain = near_dedup.plain_shingles(a), near_dedup.plain_shingles(b)
+    jaccard, similarity = near_dedup.alignment(*map(near_dedup.label_occurrences, plain), 0.8, plain)
+    assert jaccard > 0.9 and similarity > 0.9
+    rows = [(1, " ".join(whole)), (2, " ".join(less))]
+    assert [r.class_id for r in near_dedup.classes(table(rows)).collect()] == [1, 1]
+
+
+@pytest.mark.parametrize("frequent", [0, 1000])
+def test_longest_common_matches_brute_force(monkeypatch, frequent):
+    monkeypatch.setattr(near_dedup, "_FREQUENT", frequent)
+    random.seed(13)
+    for _ in range(200):
+        a, b = (random.choices(range(random.choice([2, 5, 30])), k=random.randint(0, 60)) for _ in range(2))
+        if random.random() < 0.5:
+            b = [x for x in a if random.random() < 0.9]
+        best = np.zeros((len(a) + 1, len(b) + 1), int)
+        for i, x in enumerate(a):
+            for j, y in enumerate(b):
+                best[i + 1, j + 1] = best[i, j] + 1 if x == y else max(best[i, j + 1], best[i + 1, j])
+        assert near_dedup.longest_common(np.array(a, np.uint64), np.array(b, np.uint64)) == best[-1, -1]
+
+
 def test_near_dedup_takes_awkward_rows(awkward, empty):
     found = near_dedup.classes(awkward).collect()
     classes = {}
