@@ -21,8 +21,11 @@ No bucket is expanded into all its pairs:
    by no more than 1 - threshold, so of the pairs that are not in one component yet only
    those are compared, and never two members of the bucket's largest component.
 4. Buckets with more than ``CROWD`` members outside the largest component hold texts
-   that share a long passage only. They are split by a second, sharper sketch, and
-   step 2 is done in its buckets.
+   that share a long passage only. All their members go through an exact join: shingles
+   have one order, about from the rarest, and the first shingle that two texts have in
+   common leaves enough of both for a J of the threshold, which only holds for the
+   first few of either. Texts meet by these and not by the passage, whose shingles are
+   frequent, unless the passage alone makes them similar.
 
 Texts of fewer than five words are one shingle, texts without words (null included)
 are copies of one another. A class is a connected component; its id is its least doc_id
@@ -56,13 +59,17 @@ from tarmac.session import ensure_checkpoint_dir
 
 SHINGLE = 5
 THRESHOLD = 0.8
-#: Coordinates and shingles a coordinate, of the first and of the sharper sketch.
+#: Coordinates of the sketch and shingles a coordinate.
 COORDINATES, PICKS = 16, 3
-SHARP_COORDINATES, SHARP_PICKS = 40, 7
 CROWD = 64
+#: Counters by which shingles are put in order, from the rarest.
+COUNTERS = 1 << 20
 #: Occurrences from which the places of a shingle are kept as one number.
 _FREQUENT = 1000
 
+#: Common shingles for a J of ``THRESHOLD``, as a share of the shingles of both texts.
+_SHARE = THRESHOLD / (1 + THRESHOLD)
+
 _rng = np.random.default_rng(20)
 _XOR = _rng.integers(0, 2**63, 64, dtype=np.uint64)
 _TIMES = _rng.integers(0, 2**63, 64, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
@@ -284,20 +291,106 @@ def _spokes(members: DataFrame) -> DataFrame:
     )
 
 
-def _sharp_buckets(members: DataFrame, words: DataFrame) -> DataFrame:
-    """The members (key, node) dealt over buckets of the sharper sketch."""
+def _counter(labelled: np.ndarray) -> np.ndarray:
+    return (labelled >> np.uint64(44)).astype(np.int64)
+
+
+def _frequencies(words: DataFrame) -> np.ndarray:
+    """For each counter, the shingles of ``words`` that fall to it."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        total = np.zeros(COUNTERS, np.int64)
+        for batch in batches:
+            for packed in batch.column("words").to_pylist():
+                np.add.at(total, _counter(label_occurrences(_unpack(packed))), 1)
+        used = np.flatnonzero(total)
+        yield pa.RecordBatch.from_pydict({"counter": used, "n": total[used]})
+
+    counted = words.mapInArrow(run, "counter bigint, n bigint").groupBy("counter")
+    found = counted.agg(F.sum("n").alias("n")).toPandas()
+    out = np.zeros(COUNTERS, np.int64)
+    out[found["counter"].to_numpy(np.int64)] = found["n"].to_numpy(np.int64)
+    return out
+
+
+def first_shingles(
+    labelled: np.ndarray, frequency: np.ndarray, threshold: float
+) -> tuple[np.ndarray, np.ndarray]:
+    """The shingles by which a text meets others, and their places in the order. Those that
+    no other text can have are left out."""
+    n = len(labelled)
+    count = frequency[_counter(labelled)]
+    order = np.lexsort((labelled, count))[: n - _at_least(threshold * n) + 1]
+    place = np.flatnonzero(count[order] > 1)
+    return labelled[order[place]], place
+
+
+def _at_least(x: float) -> int:
+    """``x`` rounded up, but for what rounding may have added to it."""
+    return int(np.ceil(x - 1e-9))
+
+
+def _prefix_pairs(members: DataFrame, words: DataFrame) -> DataFrame:
+    """(a, b): every pair of the members (node, label) with different labels that can have
+    a J of ``THRESHOLD``."""
+    words = words.join(members.select("node"), "node", "left_semi").checkpoint()
+    frequency = words.sparkSession.sparkContext.broadcast(_frequencies(words))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            columns = (batch.column(c).to_pylist() for c in ("node", "words"))
-            for node, packed in zip(*columns):
-                keys = sketch(label_occurrences(_unpack(packed)), SHARP_COORDINATES, SHARP_PICKS)
+            for node, packed in zip(*(batch.column(c).to_pylist() for c in ("node", "words"))):
+                labelled = label_occurrences(_unpack(packed))
+                keys, place = first_shingles(labelled, frequency.value, THRESHOLD)
+                n = np.full(len(keys), len(labelled))
+                # Of the shorter text of a pair fewer shingles are enough.
+                short = place <= len(labelled) - _at_least(_SHARE * 2 * len(labelled))
                 yield pa.RecordBatch.from_pydict(
-                    {"key": signed(keys), "node": np.full(len(keys), node)}
+                    {
+                        "key": signed(keys),
+                        "node": np.full(len(keys), node),
+                        "n": n,
+                        "rest": n - place,
+                        "short": short,
+                    }
                 )
 
-    nodes = members.select("node").distinct()
-    return words.join(nodes, "node", "left_semi").mapInArrow(run, "key bigint, node bigint")
+    schema = "key bigint, node bigint, n bigint, rest bigint, short boolean"
+    rows = words.mapInArrow(run, schema).join(members, "node").checkpoint()
+    parts = rows.groupBy("key", "label").agg(
+        F.count(F.lit(1)).alias("n"), F.max("short").alias("short")
+    )
+    mixed = (
+        parts.groupBy("key")
+        .agg(
+            F.max(F.struct("n", F.col("label").alias("most"))).alias("top"),
+            F.max("short").alias("short"),
+            F.count(F.lit(1)).alias("parts"),
+        )
+        .filter("parts > 1 and short")
+        .select("key", F.col("top.most").alias("most"))
+        .checkpoint()
+    )
+    rows = rows.join(mixed, "key").checkpoint()
+
+    def side(kept: Column, name: str) -> DataFrame:
+        names = {"node": name, **{c: f"{name}_{c}" for c in ("label", "n", "rest")}}
+        return rows.filter(kept).select("key", *(F.col(c).alias(to) for c, to in names.items()))
+
+    # No two members of the largest part of a key meet.
+    away, short = F.col("label") != F.col("most"), F.col("short")
+    enough = _SHARE * (F.col("x_n") + F.col("y_n")) - 1e-6
+    found = [
+        side(of_x & short, "x")
+        .join(side(of_y, "y"), "key")
+        .filter(
+            (F.col("x_label") != F.col("y_label"))
+            & (F.col("x_n") <= F.col("y_n"))
+            & (F.least("x_rest", "y_rest") >= enough)
+        )
+        .select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b"))
+        for of_x, of_y in ((away, F.lit(True)), (~away, away))
+    ]
+    return found[0].union(found[1]).distinct()
 
 
 def _further_pairs(
@@ -353,7 +446,8 @@ def _further_pairs(
         .distinct()
         .join(tried.select("a", "b"), ["a", "b"], "left_anti")
     )
-    return pairs, away.filter(F.col("others") > CROWD).select("key", "node")
+    crowded = away.filter(F.col("others") > CROWD).select("node", "label").distinct()
+    return pairs, crowded.checkpoint()
 
 
 def classes(docs: DataFrame) -> DataFrame:
@@ -378,8 +472,8 @@ def classes(docs: DataFrame) -> DataFrame:
     pairs, crowded = _further_pairs(members, tried, components(links))
     more = _compare(pairs, words)
     if crowded.limit(1).count():
-        sharp = _spokes(_with_leader(_sharp_buckets(crowded, words)))
-        more = more.union(_compare(sharp.join(tried, ["a", "b"], "left_anti"), words))
+        rest = _prefix_pairs(crowded, words)
+        more = more.union(_compare(rest.join(tried, ["a", "b"], "left_anti"), words))
     found = more.filter(F.col("similarity") >= THRESHOLD).select("a", "b").checkpoint()
     labels = components(links.union(found))
 

@@ -261,6 +261,41 @@ def test_crowded_buckets_use_the_sharper_sketch(table, monkeypatch):
     assert len(set(found.values())) == 40
 
 
+def test_template_family_loses_no_pair(table, monkeypatch):
+    monkeypatch.setattr(near_dedup, "CROWD", 3)
+    random.seed(15)
+    vocabulary = [f"w{k}" for k in range(5000)]
+    passage = random.choices(vocabulary, k=174)
+    rows = []
+    for k in range(120):
+        own, other = random.choices(vocabulary, k=30), random.choices(vocabulary, k=19)
+        rows += [(2 * k, " ".join(passage + own)), (2 * k + 1, " ".join(passage + own[:11] + other))]
+    sets = {k: labelled(t.split()) for k, t in rows}
+    found = {r.doc_id: r.class_id for r in near_dedup.classes(table(rows)).collect()}
+    close = {(a, b) for a in sets for b in range(a) if len(sets[a] & sets[b]) >= 0.8 * len(sets[a] | sets[b])}
+    assert close == {(2 * k + 1, 2 * k) for k in range(120)}
+    assert [(a, b) for a, b in close if found[a] != found[b]] == []
+    assert len(set(found.values())) == 120
+
+
+def test_first_shingles_meet_for_every_similar_pair():
+    rng = np.random.default_rng(15)
+    for _ in range(300):
+        own = rng.integers(0, 2**63, rng.integers(1, 80)).astype(np.uint64)
+        kept = own[rng.random(len(own)) < 0.93]
+        other = np.concatenate([kept, rng.integers(0, 2**63, rng.integers(0, 9)).astype(np.uint64)])
+        common = len(np.intersect1d(own, other))
+        if not common or common < 0.8 * (len(own) + len(other) - common):
+            continue
+        frequency = rng.integers(2, 9, near_dedup.COUNTERS)
+        (a, at), (b, to) = (near_dedup.first_shingles(x, frequency, 0.8) for x in (own, other))
+        meet = set(a.tolist()) & set(b.tolist())
+        assert meet
+        first = min(meet, key=a.tolist().index)
+        rest = min(len(own) - at[a == first][0], len(other) - to[b == first][0])
+        assert rest >= common
+
+
 def test_order_counts_for_similarity():
     a = near_dedup.shingles(np.arange(1, 101, dtype=np.uint64))
     b = near_dedup.shingles(np.concatenate([np.arange(51, 101), np.arange(1, 51)]).astype(np.uint64))
