@@ -5,8 +5,9 @@ The pairwise part learns what terms mean together, such as an insult and the men
 a group, which a sum of weights misses.
 
 The machine is fitted on a bounded sample: of the labelled rows given for learning, the
-``TRAIN_ROWS`` rows of either label whose ids hash lowest. Rows that agree in their three
-terms of least hash, as copies do, count once. Only terms that set the labels apart in
+``TRAIN_ROWS`` rows of either label whose ids hash lowest. Rows of one label that agree in
+their three terms of least hash, as copies do, count once. The rows of a label weigh as much
+as all its labelled rows, so base rate and threshold do not depend on the sample. Only terms that set the labels apart in
 the sample have weights, so the length of a text does not move its score.
 
 A null text is empty; a text without weighted terms gets the base rate w0. Labels other
@@ -44,7 +45,7 @@ STEMS = (4, 5)
 FACTORS = 4
 #: Standard errors by which a term's share must differ between the labels.
 LEAST_Z = 4.0
-#: Terms in more than this share of the sample rows are stop words of some language.
+#: Terms in more than this share of the rows of label 0 are stop words of some language.
 MOST_SHARE = 0.2
 EPOCHS = 40
 RATE = 0.2
@@ -111,8 +112,14 @@ def _sums(text_of, n, at, weight, factor) -> tuple[np.ndarray, np.ndarray]:
     return linear + 0.5 * ((total**2).sum(axis=1) - squares), total
 
 
-def fit_machine(rows: list[np.ndarray], labels: np.ndarray, seed: int = 7) -> Machine:
-    """Fit on the distinct terms of each row, by adaptive gradient steps."""
+def fit_machine(
+    rows: list[np.ndarray],
+    labels: np.ndarray,
+    seed: int = 7,
+    totals: tuple[float, float] | None = None,
+) -> Machine:
+    """Fit on the distinct terms of each row, by adaptive gradient steps. ``totals`` are the
+    rows of label 0 and 1 that the given ones stand for, by default themselves."""
     labels = labels.astype(float)
     n, toxic = len(labels), int(labels.sum())
     none = np.zeros(0)
@@ -126,7 +133,7 @@ def fit_machine(rows: list[np.ndarray], labels: np.ndarray, seed: int = 7) -> Ma
     pooled = with_all / n
     spread = np.sqrt(pooled * (1 - pooled) * (1 / toxic + 1 / (n - toxic)))
     z = np.divide(share1 - share0, spread, out=np.zeros(BUCKETS), where=spread > 0)
-    telling = (np.abs(z) >= LEAST_Z) & (with_all >= 3) & (pooled <= MOST_SHARE)
+    telling = (np.abs(z) >= LEAST_Z) & (with_all >= 3) & (share0 <= MOST_SHARE)
     terms = np.flatnonzero(telling)
     number = np.full(BUCKETS, -1)
     number[terms] = np.arange(len(terms))
@@ -134,8 +141,10 @@ def fit_machine(rows: list[np.ndarray], labels: np.ndarray, seed: int = 7) -> Ma
     at = at[at >= 0]
     first = np.searchsorted(text_of, np.arange(n + 1))
 
+    all0, all1 = totals or (n - toxic, toxic)
+    counts = np.where(labels > 0, all1 / toxic, all0 / (n - toxic)) * (n / (all0 + all1))
     rng = np.random.default_rng(seed)
-    base, weight = float(np.log(toxic / (n - toxic))), np.zeros(len(terms))
+    base, weight = float(np.log(all1 / all0)), np.zeros(len(terms))
     factor = rng.normal(0, 0.05, (len(terms), FACTORS))
     seen_w, seen_v, seen_b = np.full(len(terms), 1e-6), np.full(factor.shape, 1e-6), 1e-6
     for _ in range(EPOCHS):
@@ -147,7 +156,7 @@ def fit_machine(rows: list[np.ndarray], labels: np.ndarray, seed: int = 7) -> Ma
             picked = np.repeat(first[batch] - (np.cumsum(count) - count), count)
             ids = at[picked + np.arange(len(picked))]
             raw, total = _sums(own, len(batch), ids, weight, factor)
-            error = (_sigmoid(base + raw) - labels[batch]) / len(batch)
+            error = (_sigmoid(base + raw) - labels[batch]) * counts[batch] / len(batch)
             slope_w = np.bincount(ids, error[own], len(terms)) + SHRINK * weight
             slope_v = SHRINK * factor
             for k in range(FACTORS):
@@ -168,7 +177,7 @@ def _lowest_terms(terms: np.ndarray) -> bytes:
 
 
 def _sample(labels: DataFrame, label: str) -> DataFrame:
-    """At most ``TRAIN_ROWS`` ids of either label."""
+    """At most ``TRAIN_ROWS`` ids of either label, with the ``total`` of ids that have it."""
     one = (
         labels.filter(F.col(label).isin(0, 1) & F.col("doc_id").isNotNull())
         .groupBy("doc_id")
@@ -176,35 +185,47 @@ def _sample(labels: DataFrame, label: str) -> DataFrame:
         .withColumn("order", F.xxhash64("doc_id"))
     )
     sides = [one.filter(F.col("label") == k) for k in (0, 1)]
-    picks = [lowest_hashes(side, TRAIN_ROWS, "doc_id") for side in sides]
+    totals = {r["label"]: r["count"] for r in one.groupBy("label").count().collect()}
+    picks = [
+        lowest_hashes(side, TRAIN_ROWS, "doc_id").withColumn("total", F.lit(totals.get(k, 0)))
+        for k, side in enumerate(sides)
+    ]
     return picks[0].unionByName(picks[1])
 
 
 def train(docs: DataFrame, labels: DataFrame, label: str = "toxic") -> Machine:
     """Fit on the rows of ``docs`` that ``labels`` (doc_id, ``label``) marks. The fit
     is one task over the sample, which ``TRAIN_ROWS`` bounds."""
-    sample = F.broadcast(_sample(labels, label).select("doc_id", "label", "order"))
+    sample = F.broadcast(_sample(labels, label).select("doc_id", "label", "order", "total"))
     rows = small_batches(docs).select("doc_id", "text").join(sample, "doc_id")
-    rows = rows.select("label", "order", "text")
+    rows = rows.select("label", "order", F.col("total").cast("long").alias("total"), "text")
 
     def terms(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches, "text"):
             flat, first = text_terms(batch.column("text"))
             found = pa.ListArray.from_arrays(pa.array(first, pa.int32()), pa.array(flat))
             yield pa.RecordBatch.from_arrays(
-                [batch.column("label").cast(pa.int32()), batch.column("order"), found],
-                ["label", "order", "terms"],
+                [
+                    batch.column("label").cast(pa.int32()),
+                    batch.column("order"),
+                    batch.column("total"),
+                    found,
+                ],
+                ["label", "order", "total", "terms"],
             )
 
     def fit(rows: pd.DataFrame) -> pd.DataFrame:
         rows = rows.sort_values(["order", "label"], kind="stable")
-        rows = rows[~rows["terms"].map(_lowest_terms).duplicated(keep="first")]
-        machine = fit_machine(list(rows["terms"]), rows["label"].to_numpy())
+        alike = pd.DataFrame({"label": rows["label"], "low": rows["terms"].map(_lowest_terms)})
+        rows = rows[~alike.duplicated(keep="first")]
+        total = rows.groupby("label")["total"].first()
+        totals = (total[0], total[1]) if len(total) == 2 else None
+        machine = fit_machine(list(rows["terms"]), rows["label"].to_numpy(), totals=totals)
         parts = [np.array([machine.base]), machine.weight, machine.factor.ravel()]
         return pd.DataFrame({"terms": [machine.terms], "values": [np.concatenate(parts)]})
 
     fitted = (
-        rows.mapInArrow(terms, "label int, order bigint, terms array<int>")
+        rows.mapInArrow(terms, "label int, order bigint, total bigint, terms array<int>")
         .withColumn("model", F.lit(0))
         .groupBy("model")
         .applyInPandas(fit, "terms array<bigint>, values array<double>")

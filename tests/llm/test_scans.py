@@ -116,6 +116,24 @@ def test_machine_learns_a_pair_that_weights_cannot():
     assert (raw > 0).tolist() == [False, False, True, False]
 
 
+@pytest.mark.parametrize("clean", [1, 8])
+def test_markers_and_base_rate_do_not_depend_on_the_sample(clean):
+    rng = np.random.default_rng(5)
+    rows, labels = [], []
+    for toxic, n in ((True, 500), (False, 500 * clean)):
+        for _ in range(n):
+            marks = [1] * (rng.random() < (0.45 if toxic else 0)) + [2] * (rng.random() < (0.6 if toxic else 0.05))
+            common = [3] * (rng.random() < (0.5 if toxic else 0.3))
+            rows.append(np.unique(np.array([*rng.integers(100, 4000, 6), *marks, *common])).astype(np.int32))
+            labels.append(toxic)
+    machine = toxicity.fit_machine(rows, np.array(labels), totals=(8000, 1000))
+    assert {1, 2} <= set(machine.terms.tolist()) and 3 not in machine.terms
+    tests = [np.array(t, np.int32) for t in ([], [1], [2], [1, 2])]
+    first = np.concatenate([[0], np.cumsum([len(t) for t in tests])])
+    raw = machine.raw(np.concatenate(tests), first)
+    assert raw[0] < -2 and raw[1] > 0 and raw[3] > 0
+
+
 def test_toxicity_without_labels_or_documents(awkward, empty, spark):
     none = spark.createDataFrame([], "doc_id bigint, toxic int")
     scored = toxicity.score_toxicity(awkward, none).collect()
