@@ -2,8 +2,8 @@
 
 A vocabulary of byte pairs learned from ordinary text packs ordinary strings, invented
 names included, into few tokens; random strings fall apart. A run of key characters is
-reported when it has less than ``MOST_RATIO`` characters a token, after digests and
-identifiers of known shape are left out and where no pattern has matched already.
+reported when it has less than ``MOST_RATIO`` characters a token, after digests, numbers and
+UUIDs are left out and where no pattern has matched already.
 
 A null text is empty and an empty text has no spans. Texts are scanned whole, each row
 by itself, so repeated rows give repeated results and nothing is shuffled.
@@ -39,14 +39,17 @@ _ACCESS = re.compile(r"AKIA[A-Z0-9]{12,}")
 _HEX = re.compile(r"[0-9a-f]{32,}")
 
 _RUN = re.compile(rf"[A-Za-z0-9+/_=-]{{{LEAST_LENGTH},}}")
-_KNOWN_SHAPES = re.compile(
-    r"""
+_FIXED = r"""
       (?:[0-9a-f]{32}|[0-9a-f]{40}|[0-9a-f]{56}|[0-9a-f]{64}|[0-9a-f]{96}|[0-9a-f]{128})
     | (?:[0-9A-F]{32}|[0-9A-F]{40}|[0-9A-F]{56}|[0-9A-F]{64}|[0-9A-F]{96}|[0-9A-F]{128})
     | sha(?:1|224|256|384|512)[-=][A-Za-z0-9+/]+=*             # integrity digests
     | [0-9a-fA-F]{8}-(?:[0-9a-fA-F]{4}-){3}[0-9a-fA-F]{12}     # UUIDs
-    | [0-9+/_=-]+                                              # numbers, rules
-    | (?:[+/_=-]*+(?:[A-Z]?[a-z]++|[A-Z]++)[0-9]{0,4}+)++[+/_=-]*+  # words joined to a name
+"""
+_FIXED_SHAPES = re.compile(rf"{_FIXED} | [0-9+/_=-]+", re.VERBOSE)  # numbers, rules
+_KNOWN_SHAPES = re.compile(
+    rf"""
+    {_FIXED} | [0-9+/_=-]+
+    | (?:[+/_=-]*+(?:[A-Z]?[a-z]++|[A-Z]++)[0-9]{{0,4}}+)++[+/_=-]*+  # words joined to a name
     """,
     re.VERBOSE,
 )
@@ -68,7 +71,8 @@ def _vocabulary(path: str, pattern: str):
 
 
 def known_shape(run: str) -> bool:
-    """Digests, identifiers, numbers and names made of words."""
+    """Digests, identifiers, numbers and what looks like names made of words. Random strings
+    of one case look alike, so ``find_spans`` leaves names to the token ratio."""
     if not _KNOWN_SHAPES.fullmatch(run):
         return False
     if not re.search("[G-Zg-z]", run) or run.startswith("sha"):
@@ -85,7 +89,7 @@ def find_spans(text: str, encode) -> list[tuple[int, int, int]]:
     taken = list(found)
     for m in _RUN.finditer(text):
         low, high = m.span()
-        if any(a < high and low < b for a, _, b in taken) or known_shape(m[0]):
+        if any(a < high and low < b for a, _, b in taken) or _FIXED_SHAPES.fullmatch(m[0]):
             continue
         # Long runs are encoded in parts: encoding one string of letters may take
         # quadratic time.

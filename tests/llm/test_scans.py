@@ -56,6 +56,16 @@ def test_random_strings_stand_out_and_known_shapes_do_not(encode):
     assert [s for s in fine if kinds(s, encode)] == []
 
 
+@pytest.mark.parametrize(
+    "letters",
+    [string.ascii_lowercase, string.ascii_uppercase + "234567", string.ascii_lowercase + string.digits],
+)
+def test_random_strings_of_one_case_are_found(encode, letters):
+    random.seed(4)
+    strings = ["".join(random.choices(letters, k=40)) for _ in range(100)]
+    assert sum(kinds(f"see {s} there", encode) == [("random", s)] for s in strings) >= 95
+
+
 def test_long_runs_take_linear_time(encode):
     letters = "".join(random.choices(string.ascii_lowercase, k=60_000))
     assert secret_scan.known_shape(letters) and not secret_scan.known_shape(letters + "123456")
