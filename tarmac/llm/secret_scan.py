@@ -46,6 +46,8 @@ _FIXED = r"""
     | [0-9a-fA-F]{8}-(?:[0-9a-fA-F]{4}-){3}[0-9a-fA-F]{12}     # UUIDs
 """
 _FIXED_SHAPES = re.compile(rf"{_FIXED} | [0-9+/_=-]+", re.VERBOSE)  # numbers, rules
+#: Digests and UUIDs that are joined to other parts of a run.
+_FIXED_PART = re.compile(rf"(?<![A-Za-z0-9])(?:{_FIXED})(?![A-Za-z0-9])", re.VERBOSE)
 _KNOWN_SHAPES = re.compile(
     rf"""
     {_FIXED} | [0-9+/_=-]+
@@ -53,6 +55,7 @@ _KNOWN_SHAPES = re.compile(
     """,
     re.VERBOSE,
 )
+_PARTS = re.compile(r"[+/_=-]*[A-Za-z0-9]+(?:=+\Z)?")
 _PART = 4096
 _WORD_PART = re.compile(r"[A-Z]?[a-z]+|[A-Z]+")
 #: A name is made of words: at least so many letters a part, on average.
@@ -81,21 +84,74 @@ def known_shape(run: str) -> bool:
     return sum(map(len, parts)) >= _NAME_PART * len(parts)
 
 
+def _tokens(run: str, encode) -> int:
+    # Long runs are encoded in parts: encoding one string of letters may take
+    # quadratic time.
+    return sum(len(encode(run[k : k + _PART])) for k in range(0, len(run), _PART))
+
+
+def _outside(low: int, high: int, spans: list[tuple[int, int]]) -> Iterator[tuple[int, int]]:
+    """What ascending ``spans`` leave of a stretch."""
+    for a, b in spans:
+        if low < b and a < high:
+            if low < a:
+                yield low, a
+            low = max(low, b)
+    if low < high:
+        yield low, high
+
+
+def _random_stretches(run: str, encode) -> Iterator[tuple[int, int]]:
+    """The stretches of whole parts of ``run`` that have least characters for their tokens:
+    maximal ones, of which no beginning or end has more than ``MOST_RATIO`` a token."""
+    parts = [(m.start(), m.end()) for m in _PARTS.finditer(run)]
+    total, best = 0.0, []  # best: first part, end part, total before, total after
+    for k, (a, b) in enumerate(parts):
+        before = total
+        total += MOST_RATIO * _tokens(run[a:b], encode) - (b - a)
+        if total <= before:
+            continue
+        own = [k, k + 1, before, total]
+        while True:
+            j = len(best) - 1
+            while j >= 0 and best[j][2] >= own[2]:
+                j = best[j][4]
+            if j < 0 or best[j][3] >= own[3]:
+                best.append([*own, j])
+                break
+            own = [best[j][0], own[1], best[j][2], own[3]]
+            del best[j:]
+    for first, end, *_ in best:
+        low, high = parts[first][0], parts[end - 1][1]
+        low += len(run[low:high]) - len(run[low:high].lstrip("+/_=-"))
+        if high - low >= LEAST_LENGTH and not _FIXED_SHAPES.fullmatch(run, low, high):
+            yield low, high
+
+
 def find_spans(text: str, encode) -> list[tuple[int, int, int]]:
     """(start, number of the kind, end), ascending; code points, end exclusive."""
     found = [(m.start(), 0, m.end()) for m in _ASSIGN.finditer(text) if len(m[2]) >= 8]
     found += [(m.start(), 1, m.end()) for m in _ACCESS.finditer(text)]
     found += [(m.start(), 2, m.end()) for m in _HEX.finditer(text)]
-    taken = list(found)
+    taken, at = sorted((a, b) for a, _, b in found), 0
     for m in _RUN.finditer(text):
-        low, high = m.span()
-        if any(a < high and low < b for a, _, b in taken) or _FIXED_SHAPES.fullmatch(m[0]):
-            continue
-        # Long runs are encoded in parts: encoding one string of letters may take
-        # quadratic time.
-        tokens = sum(len(encode(text[k : min(high, k + _PART)])) for k in range(low, high, _PART))
-        if high - low < MOST_RATIO * tokens:
-            found.append((low, 3, high))
+        while at < len(taken) and taken[at][1] <= m.start():
+            at += 1
+        near = []
+        for span in taken[at:]:
+            if span[0] >= m.end():
+                break
+            near.append(span)
+        for low, high in _outside(*m.span(), near):
+            run = text[low:high]
+            if high - low < LEAST_LENGTH or _FIXED_SHAPES.fullmatch(run):
+                continue
+            if high - low < MOST_RATIO * _tokens(run, encode):
+                found.append((low, 3, high))
+                continue
+            fixed = [x.span() for x in _FIXED_PART.finditer(run)]
+            for a, b in _outside(0, len(run), fixed):
+                found += [(low + a + x, 3, low + a + y) for x, y in _random_stretches(run[a:b], encode)]
     return sorted(found)
 
 

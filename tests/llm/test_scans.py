@@ -66,6 +66,21 @@ def test_random_strings_of_one_case_are_found(encode, letters):
     assert sum(kinds(f"see {s} there", encode) == [("random", s)] for s in strings) >= 95
 
 
+def test_readable_parts_and_other_spans_do_not_hide_a_secret(encode):
+    random.seed(5)
+    paths = [
+        "com/services/incoming/webhooks/production/notifications/",
+        "internal/deployment/configuration/production/credentials/service-account/",
+    ]
+    for _ in range(50):
+        secret = "".join(random.choices(string.ascii_letters + string.digits, k=32))
+        for path in paths:
+            spans = kinds(f"see {path}{secret}/settings there", encode)
+            assert [k for k, s in spans if secret in s] == ["random"]
+        assert ("random", f"_{secret}") in kinds("0a" * 16 + f"_{secret}", encode)
+    assert [kinds(path + str(uuid.UUID(int=random.getrandbits(128))), encode) for path in paths] == [[], []]
+
+
 def test_long_runs_take_linear_time(encode):
     letters = "".join(random.choices(string.ascii_lowercase, k=60_000))
     assert secret_scan.known_shape(letters) and not secret_scan.known_shape(letters + "123456")
