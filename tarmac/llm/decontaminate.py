@@ -22,10 +22,12 @@ from functools import reduce
 
 import numpy as np
 import pyarrow as pa
+from pyspark import Broadcast
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tarmac.llm.texts import ALNUM, Words, slices, split_words, with_row, word_hashes
+from tarmac.session import ensure_checkpoint_dir
 
 WINDOW = 13
 BLOCK_BYTES = 8 << 20
@@ -219,10 +221,10 @@ def _covered(spans: Column) -> Column:
 
 
 def _blocks(benchmark: DataFrame) -> Iterator[Probes]:
-    """The items in blocks; each is gathered by itself and is never empty."""
+    """The distinct items in blocks; each is gathered by itself and is never empty."""
     named = benchmark.select(
         F.coalesce(F.col("item_id").cast("string"), F.lit("")).alias("item"), "text"
-    )
+    ).distinct()
     total = named.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     count = -(-total // BLOCK_BYTES)
     for k in range(count):
@@ -231,6 +233,14 @@ def _blocks(benchmark: DataFrame) -> Iterator[Probes]:
             yield Probes.of([r["item"] for r in rows], [r["text"] for r in rows])
 
 
+def _written_hits(rows: DataFrame, block: Broadcast) -> DataFrame:
+    """What a block finds in ``rows``, in the checkpoint folder; the block is destroyed."""
+    ensure_checkpoint_dir(rows.sparkSession)
+    hits = rows.mapInArrow(_search_shards(block), _SCHEMA).checkpoint()
+    block.destroy()
+    return hits
+
+
 def contamination(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     """A row for each row of ``docs``: _row, doc_id, n_words, n_hit (words inside an
     occurrence of a window), items (names of the items found, sorted as strings),
@@ -238,8 +248,18 @@ def contamination(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     window), contaminated (hits in at least a twentieth of the words)."""
     context = docs.sparkSession.sparkContext
     rows = with_row(docs, "doc_id", "text")
-    blocks = list(_blocks(benchmark)) or [Probes.of([], [])]
-    found = [rows.mapInArrow(_search_shards(context.broadcast(b)), _SCHEMA) for b in blocks]
+    found, held = [], None
+    for block in _blocks(benchmark):
+        # Another block comes: the hits of the one before are written, and it is let go.
+        if held:
+            found.append(_written_hits(rows, held))
+        held = context.broadcast(block)
+        del block
+    if found:
+        found.append(_written_hits(rows, held))
+    else:
+        held = held or context.broadcast(Probes.of([], []))
+        found.append(rows.mapInArrow(_search_shards(held), _SCHEMA))
     merged = (
         reduce(DataFrame.unionByName, found)
         .groupBy("_row")

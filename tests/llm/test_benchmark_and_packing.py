@@ -45,6 +45,14 @@ def test_decontamination_query_matches_brute_force(spark, sf_dir):
     assert rows_of(queries.op4_decontamination(spark, sf_dir).drop("longest")) == contamination(docs, items)
 
 
+def test_repeated_items_do_not_fill_a_block(table, monkeypatch):
+    sizes = []
+    of = decontaminate.Probes.of
+    monkeypatch.setattr(decontaminate.Probes, "of", lambda items, texts: sizes.append(len(items)) or of(items, texts))
+    items = table([(1, "one two three four")] * 50 + [(2, "five six")], "benchmark", "item_id bigint, text string")
+    assert len(list(decontaminate._blocks(items))) == 1 and sizes == [2]
+
+
 @pytest.mark.parametrize("vocabulary, block", [(3, 8 << 20), (12, 8 << 20), (12, 60)])
 def test_contamination_matches_brute_force(table, monkeypatch, vocabulary, block):
     monkeypatch.setattr(decontaminate, "BLOCK_BYTES", block)
