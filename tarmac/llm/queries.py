@@ -1,4 +1,4 @@
-"""The ten operators and the pipeline as registered queries, with SQL where it can say
+"""The operators and the pipeline as registered queries, with SQL where it can say
 the same."""
 
 from __future__ import annotations
@@ -16,6 +16,7 @@ from tarmac.llm import (
     language_id,
     near_dedup,
     packing,
+    personal_data,
     secret_scan,
     substring_dedup,
     suffix_dedup,
@@ -139,6 +140,22 @@ def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(given(spark, sf_dir, "documents"), vocabulary("word_bpe_49k.json"))
 
 
+def op11_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = personal_data.scan_personal_data(given(spark, sf_dir, "documents"))
+    plain = F.filter("spans", lambda s: s["plain"])
+    kinds = F.transform(plain, lambda s: s["kind"])
+    counts = [
+        (F.size(kinds) - F.size(F.array_remove(kinds, kind))).cast("long").alias(f"n_{kind}")
+        for kind in personal_data.KINDS
+    ]
+    return found.select(
+        "doc_id",
+        *counts,
+        F.sha2(_listed(plain), 256).alias("base_sha256"),
+        _listed(F.col("spans")).alias("spans"),
+    )
+
+
 QUERIES: dict[str, Query] = {
     "op1_secret_scan": op1_secret_scan,
     "op2_quality": op2_quality,
@@ -150,6 +167,7 @@ QUERIES: dict[str, Query] = {
     "op8_near_dedup": op8_near_dedup,
     "op9_toxicity": op9_toxicity,
     "op10_packing": op10_packing,
+    "op11_personal_data": op11_personal_data,
 }
 
 ORACLE: dict[str, str] = {
