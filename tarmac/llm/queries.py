@@ -20,6 +20,7 @@ from tarmac.llm import (
     secret_scan,
     substring_dedup,
     suffix_dedup,
+    token_alignment,
     toxicity,
 )
 
@@ -156,6 +157,14 @@ def op11_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op13_token_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_alignment.align(
+        given(spark, sf_dir, "documents"),
+        vocabulary("byte_bpe_50k.json"),
+        vocabulary("piece_bpe_32k.model"),
+    )
+
+
 QUERIES: dict[str, Query] = {
     "op1_secret_scan": op1_secret_scan,
     "op2_quality": op2_quality,
@@ -168,6 +177,7 @@ QUERIES: dict[str, Query] = {
     "op9_toxicity": op9_toxicity,
     "op10_packing": op10_packing,
     "op11_personal_data": op11_personal_data,
+    "op13_token_alignment": op13_token_alignment,
 }
 
 ORACLE: dict[str, str] = {
