@@ -50,11 +50,11 @@ def whole(text, encoders):
     ]
     if not b"".join(a_parts) == b"".join(b_parts) == (" " + text).encode():
         return []
-    out, i, j = [], 0, 0
+    a_ids, out, i, j = of_a.ids, [], 0, 0
     a_ends, b_ends = ({end: k for k, end in enumerate(ends(p), 1)} for p in (a_parts, b_parts))
     for end in sorted(set(a_ends) & set(b_ends)):
         k, m = a_ends[end], b_ends[end]
-        out.append((of_a.ids[i:k], b_ids[j:m]))
+        out.append((a_ids[i:k], b_ids[j:m]))
         i, j = k, m
     return out
 
