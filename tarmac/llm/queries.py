@@ -10,6 +10,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tarmac.llm import (
+    collocations,
     decontaminate,
     exact_dedup,
     importance,
@@ -157,6 +158,10 @@ def op11_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op12_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return collocations.collocations(given(spark, sf_dir, "documents"))
+
+
 def op13_token_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_alignment.align(
         given(spark, sf_dir, "documents"),
@@ -177,6 +182,7 @@ QUERIES: dict[str, Query] = {
     "op9_toxicity": op9_toxicity,
     "op10_packing": op10_packing,
     "op11_personal_data": op11_personal_data,
+    "op12_collocations": op12_collocations,
     "op13_token_alignment": op13_token_alignment,
 }
 
@@ -191,4 +197,59 @@ ORACLE: dict[str, str] = {
             doc_id = min(doc_id) OVER w AS kept, text_sha256
         FROM t WINDOW w AS (PARTITION BY text_sha256)
     """,
+    "op12_collocations": r"""
+        WITH pieces AS (
+            SELECT coalesce(lang, 'und') AS lang, row_number() OVER () AS piece_id, piece
+            FROM (
+                SELECT lang, unnest(regexp_split_to_array(translate(coalesce(text, ''),
+                    'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                    '[.,;:!?\x0A-\x0D]')) AS piece
+                FROM documents
+            )
+        ), lists AS (
+            SELECT lang, piece_id, regexp_extract_all(piece, '[^\x20\x09]+') AS words FROM pieces
+        ), suffixes AS (
+            SELECT lang, words[k] AS w1, words[k + 1] AS w2, words[k + 2] AS w3
+            FROM (SELECT lang, words, unnest(range(1, len(words) + 1)) AS k FROM lists)
+        ), totals AS (
+            SELECT lang, count(*) AS n FROM suffixes GROUP BY lang
+        ), f1 AS (
+            SELECT lang, w1, count(*) AS f FROM suffixes GROUP BY lang, w1
+        ), f2 AS (
+            SELECT lang, w1, w2, count(*) AS f FROM suffixes WHERE w2 IS NOT NULL
+            GROUP BY lang, w1, w2
+        ), f3 AS (
+            SELECT lang, w1, w2, w3, count(*) AS f FROM suffixes WHERE w3 IS NOT NULL
+            GROUP BY lang, w1, w2, w3 HAVING count(*) >= 10
+        ), inside AS (
+            SELECT lang, w1, w2, max(f) AS longest FROM (
+                SELECT lang, w1, w2, f FROM f3 UNION ALL SELECT lang, w2, w3, f FROM f3
+            ) GROUP BY lang, w1, w2
+        ), cuts AS (
+            SELECT p.lang, p.w1 || ' ' || p.w2 AS phrase, 1 AS k, p.f AS a, x.f AS l, y.f AS r
+            FROM f2 p JOIN f1 x ON (x.lang, x.w1) = (p.lang, p.w1)
+            JOIN f1 y ON (y.lang, y.w1) = (p.lang, p.w2)
+            LEFT JOIN inside i ON (i.lang, i.w1, i.w2) = (p.lang, p.w1, p.w2)
+            WHERE p.f >= 10 AND (i.longest IS NULL OR 100 * i.longest < 50 * p.f)
+            UNION ALL
+            SELECT p.lang, p.w1 || ' ' || p.w2 || ' ' || p.w3, 1, p.f, x.f, y.f
+            FROM f3 p JOIN f1 x ON (x.lang, x.w1) = (p.lang, p.w1)
+            JOIN f2 y ON (y.lang, y.w1, y.w2) = (p.lang, p.w2, p.w3)
+            UNION ALL
+            SELECT p.lang, p.w1 || ' ' || p.w2 || ' ' || p.w3, 2, p.f, x.f, y.f
+            FROM f3 p JOIN f2 x ON (x.lang, x.w1, x.w2) = (p.lang, p.w1, p.w2)
+            JOIN f1 y ON (y.lang, y.w1) = (p.lang, p.w3)
+        ), scored AS (
+            SELECT *, (1000000 * a::HUGEINT * a // (l::HUGEINT * r))::BIGINT AS score FROM cuts
+        ), lowest AS (
+            SELECT * FROM scored
+            QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, k) = 1
+        ), ranked AS (
+            SELECT *, row_number() OVER (
+                PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank
+            FROM lowest
+        )
+        SELECT lang, rank, phrase, a, l, r, n, score
+        FROM ranked JOIN totals USING (lang) WHERE rank <= 2000
+    """,
 }

@@ -43,11 +43,11 @@ from functools import lru_cache
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-import zstandard
 from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tarmac.llm.packed import squeeze, stretch
 from tarmac.llm.texts import Words, distinct, flat, slices, small_batches, word_hashes
 from tarmac.session import ensure_checkpoint_dir
 
@@ -222,26 +222,12 @@ def split_atoms(texts: pa.Array) -> Words:
     return Words(data, begins, start, end, np.searchsorted(start, begins))
 
 
-def _squeeze(values: np.ndarray) -> bytes:
-    """Values in transposed bytes under zstd, preceded by their width."""
-    width = values.dtype.itemsize
-    rows = np.ascontiguousarray(values).view(np.uint8).reshape(-1, width)
-    return bytes([width]) + zstandard.ZstdCompressor(level=1).compress(rows.T.tobytes())
-
-
-def _stretch(packed: bytes) -> np.ndarray:
-    raw = np.frombuffer(zstandard.ZstdDecompressor().decompress(packed[1:]), np.uint8)
-    width = packed[0]
-    rows = np.ascontiguousarray(raw.reshape(width, -1).T)
-    return rows.view(np.dtype(f"<u{width}")).reshape(-1)
-
-
 def _ascending(values: np.ndarray) -> bytes:
-    return _squeeze(np.diff(values, prepend=values.dtype.type(0)))
+    return squeeze(np.diff(values, prepend=values.dtype.type(0)))
 
 
 def _ascended(packed: bytes) -> np.ndarray:
-    return np.cumsum(_stretch(packed), dtype=np.uint64)
+    return np.cumsum(stretch(packed), dtype=np.uint64)
 
 
 def radix(pairs: np.ndarray) -> np.ndarray:
@@ -267,10 +253,10 @@ def sorted_run(pairs: np.ndarray, docs: np.ndarray) -> Iterator[dict]:
         yield {
             "part": int(part[low]),
             "pairs": _ascending(own[first]),
-            "totals": _squeeze(np.add.reduceat(times[low:high].astype(np.uint64), first)),
-            "holders": _squeeze(np.diff(first, append=len(own)).astype(np.uint32)),
-            "docs": _squeeze(docs[low:high]),
-            "times": _squeeze(times[low:high]),
+            "totals": squeeze(np.add.reduceat(times[low:high].astype(np.uint64), first)),
+            "holders": squeeze(np.diff(first, append=len(own)).astype(np.uint32)),
+            "docs": squeeze(docs[low:high]),
+            "times": squeeze(times[low:high]),
         }
 
 
@@ -392,7 +378,7 @@ def highest(pairs: np.ndarray, totals: np.ndarray) -> np.ndarray:
 def _merged(table: pa.Table) -> pa.Table:
     pairs, totals = heap_merge(
         [
-            (_ascended(p), _stretch(t))
+            (_ascended(p), stretch(t))
             for p, t in zip(table["pairs"].to_pylist(), table["totals"].to_pylist())
         ]
     )
@@ -401,7 +387,7 @@ def _merged(table: pa.Table) -> pa.Table:
             "part": pa.array([table["part"][0].as_py()], pa.int32()),
             "run": pa.array([table["run"][0].as_py()], pa.int64()),
             "pairs": pa.array([_ascending(pairs)], pa.binary()),
-            "totals": pa.array([_squeeze(totals)], pa.binary()),
+            "totals": pa.array([squeeze(totals)], pa.binary()),
         }
     )
 
@@ -429,19 +415,19 @@ def _contributions(left: pa.Table, right: pa.Table) -> pa.Table:
     out: dict[str, list] = {"run": [], "docs": [], "best": [], "sums": []}
     if right.num_rows and left.num_rows:
         pairs = _ascended(right["pairs"][0].as_py())
-        totals = _stretch(right["totals"][0].as_py())
+        totals = stretch(right["totals"][0].as_py())
         best = highest(pairs, totals)
         columns = (left[c].to_pylist() for c in ("run", "pairs", "holders", "docs", "times"))
         for name, own, holders, docs, times in zip(*columns):
-            at = np.repeat(np.searchsorted(pairs, _ascended(own)), _stretch(holders).astype(np.int64))
-            docs, times = _stretch(docs), _stretch(times).astype(np.uint64)
+            at = np.repeat(np.searchsorted(pairs, _ascended(own)), stretch(holders).astype(np.int64))
+            docs, times = stretch(docs), stretch(times).astype(np.uint64)
             order = np.argsort(docs, kind="stable")
             docs, at, times = docs[order], at[order], times[order]
             first = np.flatnonzero(np.append(True, docs[1:] != docs[:-1]))
             out["run"].append(name)
             out["docs"].append(_ascending(docs[first]))
-            out["best"].append(_squeeze(np.add.reduceat(times * best[at], first)))
-            out["sums"].append(_squeeze(np.add.reduceat(times * totals[at], first)))
+            out["best"].append(squeeze(np.add.reduceat(times * best[at], first)))
+            out["sums"].append(squeeze(np.add.reduceat(times * totals[at], first)))
     types = {"run": pa.int64(), "docs": pa.binary(), "best": pa.binary(), "sums": pa.binary()}
     return pa.table({c: pa.array(v, types[c]) for c, v in out.items()})
 
@@ -452,8 +438,8 @@ def _with_sums(left: pa.Table, right: pa.Table) -> pa.Table:
     best, sums = (np.zeros(int(index.max(initial=-1)) + 1, np.uint64) for _ in range(2))
     for docs, b, s in zip(*(right[c].to_pylist() for c in ("docs", "best", "sums"))):
         docs = _ascended(docs).astype(np.int64)
-        best[docs] += _stretch(b)
-        sums[docs] += _stretch(s)
+        best[docs] += stretch(b)
+        sums[docs] += stretch(s)
     kept = left.select(["doc_id", "n_a", "n_b", "n_groups"])
     for name, values in (
         ("n_links", left["n_groups"]),
@@ -503,7 +489,7 @@ def pair_counts(docs: DataFrame, byte_vocabulary: str, piece_model: str) -> Data
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for p, t in zip(*(batch.column(c).to_pylist() for c in ("pairs", "totals"))):
-                pairs, totals = _ascended(p), _stretch(t)
+                pairs, totals = _ascended(p), stretch(t)
                 yield pa.RecordBatch.from_pydict(
                     {
                         "a": (pairs & np.uint64(0xFFFFFFFF)).astype(np.int64),

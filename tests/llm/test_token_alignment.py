@@ -8,7 +8,7 @@ import numpy as np
 import pyarrow as pa
 import pytest
 
-from tarmac.llm import queries, token_alignment
+from tarmac.llm import packed, queries, token_alignment
 from tests.llm.conftest import rows_of
 
 A_FILE, B_FILE = "byte_bpe_50k.json", "piece_bpe_32k.model"
@@ -121,7 +121,7 @@ def test_heap_merge_and_highest():
 def test_packed_values_come_back(values):
     for kind in (np.uint32, np.uint64):
         own = np.array([v % 2**31 for v in values], kind) if kind is np.uint32 else np.array(values, kind)
-        assert token_alignment._stretch(token_alignment._squeeze(own)).tolist() == own.tolist()
+        assert packed.stretch(packed.squeeze(own)).tolist() == own.tolist()
 
 
 @pytest.mark.parametrize("small", [False, True])
