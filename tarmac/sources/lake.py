@@ -15,6 +15,7 @@ from tarmac.sources.extracts import (
     read_months_csv,
     require_one_archive_a_month,
 )
+from tarmac.sources.versions import publish_version
 
 MONTH_KEYS = ["source_year", "source_month"]
 
@@ -142,8 +143,11 @@ def ingest_archives(
 
 
 def publish(df: DataFrame, name: str, as_table: bool = False) -> None:
-    """Expose a model by name: a view for staging, a stored table for core and marts."""
+    """Expose a model by name: a view for staging, a stored table for core and marts.
+
+    A stored model is replaced in one step: see ``versions.publish_version``.
+    """
     if as_table:
-        df.write.mode("overwrite").saveAsTable(name)
+        publish_version(df, name)
     else:
         df.createOrReplaceTempView(name)
