@@ -16,16 +16,20 @@ labels leave common shingles out of order, those without labels are aligned.
 No bucket is expanded into all its pairs:
 
 1. Copies (equal word sequences) are one node, their least row.
-2. Every member of a bucket is compared with its leader, the least member.
-3. 1 - J is a metric. Two members can only be similar if their distances to the leader differ
-   by no more than 1 - threshold, so of the pairs that are not in one component yet only
-   those are compared, and never two members of the bucket's largest component.
-4. Buckets with more than ``CROWD`` members outside the largest component hold texts
-   that share a long passage only. All their members go through an exact join: shingles
-   have one order, about from the rarest, and the first shingle that two texts have in
-   common leaves enough of both for a J of the threshold, which only holds for the
+2. The head of a bucket is the member that shares most buckets with others, counted with their
+   sizes. A text belongs to the family of the highest of the heads of its buckets. Of a
+   family all members are compared with its middle: the one whose votes, 128 bits that depend on
+   few shingles each, agree best with those of most members. Near copies of one text differ
+   from it less than from each other, so it is in the middle, whichever is read first.
+   Buckets that hold several components then are compared with their head, and with more of
+   them if ``HEADS`` says so. That is linear in the members.
+3. Buckets that still hold several components hold texts that share a long passage only, or
+   families whose common origin is missing. All their members go through an exact join:
+   shingles have one order, about from the rarest, and the first shingle that two texts
+   have in common leaves enough of both for a J of the threshold, which only holds for the
    first few of either. Texts meet by these and not by the passage, whose shingles are
-   frequent, unless the passage alone makes them similar.
+   frequent, unless the passage alone makes them similar. No two members of the largest
+   component that a shingle holds meet, so a family that step 2 has joined costs nothing here.
 
 Texts of fewer than five words are one shingle, texts without words (null included)
 are copies of one another. A class is a connected component; its id is its least doc_id
@@ -34,8 +38,9 @@ and its one kept row is the first row with that id; nulls yield to any id.
 
 from __future__ import annotations
 
-from bisect import bisect_left
+from bisect import bisect_left, bisect_right
 from collections.abc import Iterator
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -61,11 +66,14 @@ SHINGLE = 5
 THRESHOLD = 0.8
 #: Coordinates of the sketch and shingles a coordinate.
 COORDINATES, PICKS = 16, 3
-CROWD = 64
+#: Heads that a bucket with several components is compared with.
+HEADS = 1
 #: Counters by which shingles are put in order, from the rarest.
 COUNTERS = 1 << 20
 #: Occurrences from which the places of a shingle are kept as one number.
 _FREQUENT = 1000
+#: Places by which the band is moved on at once.
+_SLIDE = 256
 
 #: Common shingles for a J of ``THRESHOLD``, as a share of the shingles of both texts.
 _SHARE = THRESHOLD / (1 + THRESHOLD)
@@ -119,8 +127,18 @@ def sketch(labelled: np.ndarray, coordinates: int, picks: int) -> np.ndarray:
     return out
 
 
-def longest_common(a: np.ndarray, b: np.ndarray) -> int:
-    """Most elements of ``a`` and ``b`` that can be matched in order."""
+def votes_of(labelled: np.ndarray) -> list[int]:
+    """Two times 64 bits, each two of the least shingle among a 64th of all."""
+    spread = np.sort(mix(labelled ^ _XOR[0]))[::-1]
+    least = np.zeros(64, np.uint64)
+    least[(spread >> np.uint64(58)).astype(np.int64)] = spread  # the last one written is the least
+    bits = [(least >> np.uint64(k) & np.uint64(1)).astype(np.uint8) for k in (0, 1)]
+    return [int(np.packbits(b).view(">i8")[0]) for b in bits]
+
+
+def longest_common(a: np.ndarray, b: np.ndarray, band: int | None = None) -> int:
+    """Most elements of ``a`` and ``b`` that can be matched in order, each with one that lies
+    at most ``band`` places before or behind."""
     n = min(len(a), len(b))
     differ = np.flatnonzero(a[:n] != b[:n])
     head = int(differ[0]) if len(differ) else n
@@ -128,27 +146,42 @@ def longest_common(a: np.ndarray, b: np.ndarray) -> int:
     differ = np.flatnonzero(a[::-1][:left] != b[::-1][:left])
     tail = int(differ[0]) if len(differ) else left
     x, y = a[head : len(a) - tail].tolist(), b[head : len(b) - tail].tolist()
+    if band is None:
+        band = max(len(x), len(y))
     places: dict[int, list[int]] = {}
     for j, value in enumerate(x):
         places.setdefault(value, []).append(j)
     frequent: dict[int, int] = {}
-    # A row of the dynamic program as the bits of one number: its steps are the zeros.
-    row = every = (1 << len(x)) - 1
-    for value in y:
+    # A row of the dynamic program as the bits of one number: its steps are the zeros. Only
+    # the part from ``low`` on is held, as no match changes what lies behind the band.
+    low, width, done = 0, 2 * band + _SLIDE + 1, 0
+    row = every = (1 << width) - 1
+    for i, value in enumerate(y):
+        if i - band >= low + _SLIDE:
+            step = i - band - low
+            done += step - (row & ((1 << step) - 1)).bit_count()
+            row = (row >> step) | (every ^ (every >> step))
+            low += step
         own = places.get(value)
         if not own:
             continue
         here = frequent.get(value)
-        if here is None:
+        if here is None and len(own) > _FREQUENT:
             bits = bytearray(len(x) // 8 + 1)
             for j in own:
                 bits[j >> 3] |= 1 << (j & 7)
-            here = int.from_bytes(bits, "little")
-            if len(own) > _FREQUENT:
-                frequent[value] = here
-        match = row & here
+            here = frequent[value] = int.from_bytes(bits, "little")
+        if here is not None:
+            match = (here >> low) & every
+            first, last = max(0, i - band - low), i + band - low
+            match = (match >> first << first) & ((1 << (last + 1)) - 1)
+        else:
+            match = 0
+            for j in own[bisect_left(own, i - band) : bisect_right(own, i + band)]:
+                match |= 1 << (j - low)
+        match &= row
         row = ((row + match) | (row - match)) & every
-    return head + tail + len(x) - row.bit_count()
+    return head + tail + done + width - row.bit_count()
 
 
 def alignment(
@@ -177,22 +210,24 @@ def alignment(
     # Labels pair equal occurrences only; no alignment has more than the common ones.
     if aligned < len(common) and plain is not None:
         if (plain[0] != a).any() or (plain[1] != b).any():
-            aligned = max(aligned, longest_common(*plain))
+            aligned = max(aligned, longest_common(*plain, int(band)))
     return jaccard, aligned / (total - aligned) if total else 1.0
 
 
 def _prints(docs: DataFrame) -> DataFrame:
-    """_row, doc_id, digest of the word sequence, sketch."""
+    """_row, doc_id, digest of the word sequence, sketch, votes."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches, "text"):
             words = split_words(batch.column("text"), SPACED)
             values = word_hashes(words)
-            digests, sketches, ends = [], [], [0]
+            digests, sketches, votes, ends = [], [], [], [0]
             for low, high in zip(words.first[:-1].tolist(), words.first[1:].tolist()):
                 own = values[low:high]
                 digests.append(xxhash.xxh3_128_digest(own.tobytes()))
-                sketches.append(sketch(shingles(own), COORDINATES, PICKS))
+                labelled = shingles(own)
+                sketches.append(sketch(labelled, COORDINATES, PICKS))
+                votes.append(votes_of(labelled))
                 ends.append(ends[-1] + len(sketches[-1]))
             keys = pa.array(signed(np.concatenate(sketches)), pa.int64())
             yield pa.RecordBatch.from_arrays(
@@ -201,11 +236,12 @@ def _prints(docs: DataFrame) -> DataFrame:
                     batch.column("doc_id"),
                     pa.array(digests, pa.binary()),
                     pa.ListArray.from_arrays(pa.array(ends, pa.int32()), keys),
+                    pa.array(votes, pa.list_(pa.int64())),
                 ],
-                ["_row", "doc_id", "digest", "sketch"],
+                ["_row", "doc_id", "digest", "sketch", "votes"],
             )
 
-    schema = "_row bigint, doc_id bigint, digest binary, sketch array<bigint>"
+    schema = "_row bigint, doc_id bigint, digest binary, sketch array<bigint>, votes array<bigint>"
     return with_row(docs, "doc_id", "text").mapInArrow(run, schema)
 
 
@@ -271,24 +307,95 @@ def _compare(pairs: DataFrame, words: DataFrame) -> DataFrame:
     return texts.mapInArrow(run, "a bigint, b bigint, jaccard double, similarity double")
 
 
-def _with_leader(buckets: DataFrame) -> DataFrame:
-    """(key, leader, node) of the buckets (key, node) that hold several nodes."""
-    leaders = (
-        buckets.groupBy("key")
-        .agg(F.min("node").alias("leader"), F.count(F.lit(1)).alias("n"))
-        .filter("n > 1")
-        .select("key", "leader")
-        .checkpoint()  # apart from the join, which can then split a hot key
+def _shared(buckets: DataFrame) -> DataFrame:
+    """(key, node, score) of the buckets (key, node) that hold several nodes; the score of a
+    node is the number of members of all its buckets."""
+    sizes = buckets.groupBy("key").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").checkpoint()
+    members = buckets.join(sizes, "key").checkpoint()  # apart, so that a hot key can be split
+    scores = members.groupBy("node").agg(F.sum("n").alias("score"))
+    return members.select("key", "node").join(scores, "node").checkpoint()
+
+
+def _heads(members: DataFrame) -> DataFrame:
+    """(key, head, head_score): of each bucket the member (key, node, score) that scores
+    most, of equal ones the least."""
+    first = F.max(F.struct("score", (-F.col("node")).alias("last"))).alias("first")
+    return members.groupBy("key").agg(first).select(
+        "key", (-F.col("first.last")).alias("head"), F.col("first.score").alias("head_score")
     )
-    return buckets.join(leaders, "key")
 
 
-def _spokes(members: DataFrame) -> DataFrame:
-    return (
-        members.filter("leader != node")
-        .select(F.col("leader").alias("a"), F.col("node").alias("b"))
-        .distinct()
+def _labelled(members: DataFrame, labels: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Members of buckets with several components, with their labels, and the label that most
+    members of each of these buckets have (key, most)."""
+    own = members.join(labels, "node", "left").withColumn("label", F.coalesce("label", "node"))
+    parts = own.groupBy("key", "label").agg(F.count(F.lit(1)).alias("n"))
+    mixed = parts.groupBy("key").agg(
+        F.max(F.struct("n", "label")).alias("top"), F.count(F.lit(1)).alias("parts")
+    )
+    mixed = mixed.filter("parts > 1").select("key", F.col("top.label").alias("most")).checkpoint()
+    return own.join(mixed.select("key"), "key").checkpoint(), mixed
+
+
+def _ordered(pairs: DataFrame) -> DataFrame:
+    """(head, node) as distinct (a, b)."""
+    ends = [F.least("head", "node").alias("a"), F.greatest("head", "node").alias("b")]
+    return pairs.select(*ends).distinct()
+
+
+def _middles(nearest: DataFrame, votes: DataFrame) -> DataFrame:
+    """(node, head): for the families (node, head), whose heads are nodes of them too, the member
+    that agrees best with what most members vote, in place of the head. ``votes`` has
+    (node, votes, score); of members that agree alike the one with the highest score counts."""
+    family = nearest.union(nearest.select(F.col("head").alias("node"), "head")).distinct()
+    family = family.join(votes, "node").checkpoint()
+    places = [(k, i) for k in (0, 1) for i in range(64)]
+    bits = [
+        F.sum(F.shiftright(F.col("votes")[k], i).bitwiseAND(F.lit(1))).alias(f"bit{k}_{i}")
+        for k, i in places
+    ]
+    counted = family.groupBy("head").agg(F.count(F.lit(1)).alias("n"), *bits)
+    most = {
+        k: reduce(
+            Column.bitwiseOR,
+            [F.shiftleft((2 * F.col(f"bit{k}_{i}") > F.col("n")).cast("bigint"), i) for i in range(64)],
+        )
+        for k in (0, 1)
+    }
+    most = counted.select("head", *[m.alias(f"most{k}") for k, m in most.items()]).checkpoint()
+    off = [F.bit_count(F.col("votes")[k].bitwiseXOR(F.col(f"most{k}"))) for k in (0, 1)]
+    best = F.min(F.struct((off[0] + off[1]).alias("off"), (-F.col("score")).alias("less"), "node"))
+    middle = family.join(most, "head").groupBy("head").agg(best.alias("best"))
+    middle = middle.select("head", F.col("best.node").alias("middle")).checkpoint()
+    found = family.join(middle, "head").select("node", F.col("middle").alias("head"))
+    return found.filter("node != head")
+
+
+def _by_heads(members: DataFrame, words: DataFrame, votes: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """(a, b, jaccard, similarity) of members with heads of their buckets, and the members
+    (node, label) of the buckets that hold several components after that."""
+    spokes = members.join(_heads(members).checkpoint(), "key").filter("head != node")
+    nearest = spokes.groupBy("node").agg(
+        F.max(F.struct("head_score", (-F.col("head")).alias("last"))).alias("first")
     )
+    nearest = nearest.select("node", (-F.col("first.last")).alias("head")).checkpoint()
+    scored = votes.join(members.select("node", "score").distinct(), "node")
+    pairs, tried = _ordered(_middles(nearest, scored)), None
+    for turn in range(1 + HEADS):
+        if tried is not None:
+            pairs = pairs.join(tried.select("a", "b"), ["a", "b"], "left_anti")
+        new = _compare(pairs, words)
+        tried = (new if tried is None else tried.union(new)).checkpoint()
+        links = tried.filter(F.col("similarity") >= THRESHOLD).select("a", "b")
+        own, mixed = _labelled(members, components(links))
+        if turn == HEADS or own.isEmpty():
+            break
+        # The first of these heads is any member, the next one is not of the largest component.
+        of = own if not turn else own.join(mixed, "key").filter("label != most")
+        label = own.select("key", F.col("node").alias("head"), F.col("label").alias("head_label"))
+        heads = _heads(of).join(label, ["key", "head"]).checkpoint()
+        pairs = _ordered(own.join(heads, "key").filter("label != head_label"))
+    return tried, own.select("node", "label").distinct().checkpoint()
 
 
 def _counter(labelled: np.ndarray) -> np.ndarray:
@@ -393,63 +500,6 @@ def _prefix_pairs(members: DataFrame, words: DataFrame) -> DataFrame:
     return found[0].union(found[1]).distinct()
 
 
-def _further_pairs(
-    members: DataFrame, tried: DataFrame, labels: DataFrame
-) -> tuple[DataFrame, DataFrame]:
-    """Steps 3 and 4: the pairs left to compare, and the members of crowded buckets."""
-    away = (
-        members.join(
-            tried.select(F.col("a").alias("leader"), F.col("b").alias("node"), "jaccard"),
-            ["leader", "node"],
-            "left",
-        )
-        .join(labels, "node", "left")
-        .select(
-            "key",
-            "node",
-            F.coalesce("label", "node").alias("label"),
-            (1 - F.coalesce("jaccard", F.lit(1.0))).alias("away"),
-        )
-    )
-    sizes = away.groupBy("key", "label").agg(F.count(F.lit(1)).alias("n"))
-    mixed = (
-        sizes.groupBy("key")
-        .agg(
-            F.max(F.struct("n", F.col("label").alias("most"))).alias("top"),
-            F.sum("n").alias("n"),
-            F.count(F.lit(1)).alias("parts"),
-        )
-        .filter("parts > 1")
-        .select(
-            "key", F.col("top.most").alias("most"), (F.col("n") - F.col("top.n")).alias("others")
-        )
-        .checkpoint()
-    )
-    away = away.join(mixed, "key").checkpoint()
-    others = away.filter((F.col("others") <= CROWD) & (F.col("label") != F.col("most")))
-    cells = F.floor(F.col("away") / (1 - THRESHOLD))
-
-    def side(rows: DataFrame, name: str, cell: Column) -> DataFrame:
-        renamed = {"node": name, "label": f"{name}_label", "away": f"{name}_away"}
-        columns = [F.col(old).alias(new) for old, new in renamed.items()]
-        return rows.select("key", *columns, cell.alias("cell"))
-
-    x = side(others, "x", F.explode(F.sequence(cells - 1, cells + 1)))
-    y = side(away.filter(F.col("others") <= CROWD), "y", cells)
-    pairs = (
-        x.join(y, ["key", "cell"])
-        .filter(
-            (F.col("x_label") != F.col("y_label"))
-            & (F.abs(F.col("x_away") - F.col("y_away")) <= 1 - THRESHOLD + 1e-9)
-        )
-        .select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b"))
-        .distinct()
-        .join(tried.select("a", "b"), ["a", "b"], "left_anti")
-    )
-    crowded = away.filter(F.col("others") > CROWD).select("node", "label").distinct()
-    return pairs, crowded.checkpoint()
-
-
 def classes(docs: DataFrame) -> DataFrame:
     """A row for each row of ``docs``: _row, doc_id, class_id, class_size (rows), kept."""
     ensure_checkpoint_dir(docs.sparkSession)
@@ -460,22 +510,21 @@ def classes(docs: DataFrame) -> DataFrame:
             F.min(F.struct(F.isnull("doc_id").alias("no_id"), "doc_id", "_row")).alias("first"),
             F.count(F.lit(1)).alias("group_size"),
             F.first("sketch").alias("sketch"),
+            F.first("votes").alias("votes"),
         )
         .withColumn("node", F.col("first._row"))
         .checkpoint()
     )
-    members = _with_leader(copies.select("node", F.explode("sketch").alias("key"))).checkpoint()
+    members = _shared(copies.select("node", F.explode("sketch").alias("key")))
     words = _word_values(docs, members.select("node").distinct()).checkpoint()
 
-    tried = _compare(_spokes(members), words).checkpoint()
+    tried, undecided = _by_heads(members, words, copies.select("node", "votes"))
     links = tried.filter(F.col("similarity") >= THRESHOLD).select("a", "b")
-    pairs, crowded = _further_pairs(members, tried, components(links))
-    more = _compare(pairs, words)
-    if crowded.limit(1).count():
-        rest = _prefix_pairs(crowded, words)
-        more = more.union(_compare(rest.join(tried, ["a", "b"], "left_anti"), words))
-    found = more.filter(F.col("similarity") >= THRESHOLD).select("a", "b").checkpoint()
-    labels = components(links.union(found))
+    if not undecided.isEmpty():
+        rest = _prefix_pairs(undecided, words).join(tried.select("a", "b"), ["a", "b"], "left_anti")
+        found = _compare(rest, words).filter(F.col("similarity") >= THRESHOLD)
+        links = links.union(found.select("a", "b").checkpoint())
+    labels = components(links)
 
     nodes = copies.join(labels, "node", "left").withColumn("label", F.coalesce("label", "node"))
     nodes = nodes.select("digest", "first", "group_size", "label")

@@ -247,8 +247,7 @@ def test_near_copies_match_brute_force(table):
     assert all(found[k].kept == (found[k].class_id == k) for k in found)
 
 
-def test_crowded_buckets_use_the_sharper_sketch(table, monkeypatch):
-    monkeypatch.setattr(near_dedup, "CROWD", 3)
+def test_copies_within_a_template_family_are_found(table):
     random.seed(11)
     vocabulary = [f"w{k}" for k in range(3000)]
     passage = random.choices(vocabulary, k=150)
@@ -261,8 +260,7 @@ def test_crowded_buckets_use_the_sharper_sketch(table, monkeypatch):
     assert len(set(found.values())) == 40
 
 
-def test_template_family_loses_no_pair(table, monkeypatch):
-    monkeypatch.setattr(near_dedup, "CROWD", 3)
+def test_template_family_loses_no_pair(table):
     random.seed(15)
     vocabulary = [f"w{k}" for k in range(5000)]
     passage = random.choices(vocabulary, k=174)
@@ -278,6 +276,108 @@ def test_template_family_loses_no_pair(table, monkeypatch):
     assert len(set(found.values())) == 120
 
 
+def family(n, place, seed=16):
+    """A text of 100 words and n copies of it with 1 or 2 edits, at one place among them."""
+    draw = random.Random(seed)
+    vocabulary = [f"w{k}" for k in range(3000)]
+    base = draw.choices(vocabulary, k=100)
+    texts = []
+    for _ in range(n):
+        words = list(base)
+        for at in draw.sample(range(100), draw.choice([1, 2])):
+            words[at] = draw.choice(vocabulary)
+        texts.append(" ".join(words))
+    texts.insert({"first": 0, "middle": n // 2, "last": n}[place], " ".join(base))
+    return list(enumerate(texts))
+
+
+@pytest.mark.parametrize("place", ["first", "middle", "last"])
+def test_pairs_grow_with_a_family_and_not_with_its_square(table, monkeypatch, place):
+    compared, compare = [], near_dedup._compare
+
+    def counted(pairs, words):
+        compared.append(pairs.count())
+        return compare(pairs, words)
+
+    monkeypatch.setattr(near_dedup, "_compare", counted)
+    sizes = []
+    for n in (200, 400):
+        compared.clear()
+        found = near_dedup.classes(table(family(n, place))).collect()
+        sizes.append(sum(compared))
+        assert max(Counter(r.class_id for r in found).values()) > 0.98 * n
+        assert sizes[-1] < 5 * n, sizes
+    assert sizes[1] < 2.6 * sizes[0]
+
+
+def test_query_matches_brute_force(spark, table, monkeypatch):
+    """The query itself over texts with edits, repeated passages, moved halves and copies."""
+    draw = random.Random(17)
+    vocabulary = [f"w{k}" for k in range(400)]
+    texts = []
+    for _ in range(30):
+        base = draw.choices(vocabulary, k=draw.choice([3, 8, 60, 150]))
+        texts += [" ".join(base), " ".join(base[len(base) // 2 :] + base[: len(base) // 2])]
+        for _ in range(3):
+            words = list(base)
+            for _ in range(draw.choice([0, 1, 2])):
+                words[draw.randrange(len(words))] = draw.choice(vocabulary)
+            if draw.random() < 0.3:
+                words = words[:20] + words[5:]
+            texts.append(" ".join(words))
+    draw.shuffle(texts)
+    rows = list(enumerate(texts))
+    monkeypatch.setattr(queries, "given", lambda *_: table(rows))
+    found = {r.doc_id: r for r in queries.op8_near_dedup(spark, "").collect()}
+
+    def grams(text):
+        words = text.split()
+        return [tuple(words[k : k + 5]) for k in range(max(1, len(words) - 4))]
+
+    parent = list(range(len(texts)))
+
+    def root(k):
+        while parent[k] != k:
+            k = parent[k]
+        return k
+
+    own = [grams(t) for t in texts]
+    for a in range(len(texts)):
+        for b in range(a):
+            total = len(own[a]) + len(own[b])
+            if not set(own[a]) & set(own[b]):
+                continue
+            row = [0] * (len(own[b]) + 1)
+            for x in own[a]:
+                above, row = row, [0]
+                for j, y in enumerate(own[b]):
+                    row.append(above[j] + 1 if x == y else max(above[j + 1], row[j]))
+            if row[-1] >= 0.8 * (total - row[-1]):
+                parent[root(a)] = root(b)
+    classes = {k: min(j for j in parent if root(j) == root(k)) for k in range(len(texts))}
+    assert {k: r.class_id for k, r in found.items()} == classes
+    sizes = Counter(classes.values())
+    assert all(r.class_size == sizes[r.class_id] and r.kept == (k == r.class_id) for k, r in found.items())
+
+
+def test_recall_at_the_threshold(table):
+    """Pairs just above 0.8 that share nothing with other texts."""
+    draw = random.Random(18)
+    rows = []
+    for k in range(300):
+        words = [f"p{k}x{j}" for j in range(94)]  # 90 shingles
+        other = words[:83] + [f"q{k}x{j}" for j in range(8)]  # 79 of 87 common
+        if draw.random() < 0.5:
+            words, other = other, words
+        rows += [(2 * k, " ".join(words)), (2 * k + 1, " ".join(other))]
+    sets = {k: labelled(t.split()) for k, t in rows}
+    exact = [len(sets[2 * k] & sets[2 * k + 1]) / len(sets[2 * k] | sets[2 * k + 1]) for k in range(300)]
+    assert all(0.8 <= j < 0.81 for j in exact)
+    found = {r.doc_id: r.class_id for r in near_dedup.classes(table(rows)).collect()}
+    hit = sum(found[2 * k + 1] == found[2 * k] for k in range(300))
+    assert hit >= 297
+
+
 def test_first_shingles_meet_for_every_similar_pair():
     rng = np.random.default_rng(15)
     for _ in range(300):
@@ -322,18 +422,24 @@ def test_a_header_gone_once_leaves_the_rest_in_order(table):
 
 
 @pytest.mark.parametrize("frequent", [0, 1000])
-def test_longest_common_matches_brute_force(monkeypatch, frequent):
+@pytest.mark.parametrize("slide", [1, 7, 256])
+def test_longest_common_matches_brute_force(monkeypatch, frequent, slide):
     monkeypatch.setattr(near_dedup, "_FREQUENT", frequent)
+    monkeypatch.setattr(near_dedup, "_SLIDE", slide)
     random.seed(13)
     for _ in range(200):
         a, b = (random.choices(range(random.choice([2, 5, 30])), k=random.randint(0, 60)) for _ in range(2))
         if random.random() < 0.5:
             b = [x for x in a if random.random() < 0.9]
-        best = np.zeros((len(a) + 1, len(b) + 1), int)
-        for i, x in enumerate(a):
-            for j, y in enumerate(b):
-                best[i + 1, j + 1] = best[i, j] + 1 if x == y else max(best[i, j + 1], best[i + 1, j])
-        assert near_dedup.longest_common(np.array(a, np.uint64), np.array(b, np.uint64)) == best[-1, -1]
+        for band in (None, 0, 1, 4, 15):
+            best = np.zeros((len(a) + 1, len(b) + 1), int)
+            for i, x in enumerate(a):
+                for j, y in enumerate(b):
+                    fits = x == y and (band is None or abs(i - j) <= band)
+                    best[i + 1, j + 1] = max(best[i, j] + fits, best[i, j + 1], best[i + 1, j])
+            own = near_dedup.longest_common(np.array(a, np.uint64), np.array(b, np.uint64), band)
+            # a common end is matched whatever its shift
+            assert own == best[-1, -1] or band is not None and own >= best[-1, -1] and len(a) != len(b)
 
 
 def test_near_dedup_takes_awkward_rows(awkward, empty):
