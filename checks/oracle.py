@@ -235,11 +235,21 @@ RULES = {
 }
 
 
-def _rules(source: str) -> str:
+#: Of the load: how a row fits its file, and whether a cancellation has a known kind.
+LOAD_RULES = {
+    "flown_in_month_of_file": (
+        "FlightDate is not null",
+        "month(cast(FlightDate as date)) <> source_month or year(cast(FlightDate as date)) <> source_year",
+    ),
+    "cancellation_has_a_kind": ("Cancelled = 1", f"({OUTCOME}) = 'cancelled_other'"),
+}
+
+
+def _rules(source: str, rules: dict[str, tuple[str, str]] = RULES) -> str:
     return "\n union all ".join(
         f"""select '{name}' as rule, count(*) filter ({checked}) as checked,
  count(*) filter (({checked}) and ({broken})) as violations from {source}"""
-        for name, (checked, broken) in RULES.items()
+        for name, (checked, broken) in rules.items()
     )
 
 
@@ -415,6 +425,7 @@ from stg where extract(month from flight_date) <> source_month
 select count(*) as cancelled_other, count(*) > 1 as excess from stg
 where flight_outcome = 'cancelled_other'""",
     "rule_violations": f"{RAW},\n{BROKEN}\n{_rules('broken')}",
+    "load_rule_counts": f"{RAW},\n{BROKEN}\n{_rules('broken', RULES | LOAD_RULES)}",
     "rule_violations_clean": f"{RAW}\n{_rules('raw_ontime')}",
     "schema_diff": f"""with {HEADERS},
 steps as (select sample as sample_from, lead(sample) over (order by sample) as sample_to
@@ -455,6 +466,10 @@ from calendar where (year(m), month(m)) in (select (y, mo) from published)
 select cast(source_year as bigint) as source_year, cast(source_month as bigint) as source_month,
  count(*) as flights, sum(cast(Distance as double)) as miles from raw_ontime
 where source_year = 1997 and source_month <= 6 group by 1, 2""",
+    "lake_table": f"""{RAW}
+select cast(source_year as bigint) as source_year, Reporting_Airline as carrier,
+ count(*) as flights, sum(cast(Distance as double)) as miles from raw_ontime
+where source_year in (1995, 1997) and source_month > 3 group by 1, 2""",
     "loaded_months": f"""{RAW}
 select distinct cast(source_year as bigint) as source_year,
  cast(source_month as bigint) as source_month from raw_ontime""",

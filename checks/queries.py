@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 from functools import cached_property, reduce
 
@@ -480,6 +481,37 @@ def lake_scan(t: Tables) -> DataFrame:
         return _long_columns(found, *lake.MONTH_KEYS).checkpoint()
 
 
+@query
+def lake_table(t: Tables) -> DataFrame:
+    """A lake of one half of the months under a name, the others loaded later, by SQL."""
+    name = f"lake_{uuid.uuid4().hex}"
+    early = F.col("source_year") < 1996
+    with scratch_folder(t.spark) as root:
+        lake.write_lake(t.raw.filter(early), root)
+        lake.create_lake_table(t.spark, name, root, t.raw.schema)
+        later = t.raw.filter(~early)
+        lake.write_lake(later, root)
+        months = later.select(*lake.MONTH_KEYS).distinct().collect()  # names of months
+        lake.register_months(t.spark, name, root, [tuple(r) for r in months])
+        found = t.spark.sql(
+            f"""SELECT CAST(source_year AS BIGINT) AS source_year, Reporting_Airline AS carrier,
+                count(*) AS flights, sum(CAST(Distance AS DOUBLE)) AS miles FROM {name}
+                WHERE source_year IN (1995, 1997) AND source_month > 3
+                GROUP BY source_year, Reporting_Airline"""
+        ).checkpoint()
+        t.spark.sql(f"DROP TABLE {name}")
+        return found
+
+
+@query
+def load_rule_counts(t: Tables) -> DataFrame:
+    """What the load itself counts of the rules, while it writes the lake."""
+    counts = quality.RuleCounts(quality.load_rules())
+    with scratch_folder(t.spark) as root:
+        lake.write_lake(_broken(t.raw), root, counts.watch)
+    return counts.frame(t.spark)
+
+
 @query
 def loaded_months(t: Tables) -> DataFrame:
     with scratch_folder(t.spark) as root:

@@ -2,10 +2,13 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from dataclasses import dataclass, field
+
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
-from tarmac.operators.staging import LANDINGS_MARKER
+from tarmac.functions.casts import iso_date
+from tarmac.operators.staging import LANDINGS_MARKER, flight_outcome
 
 DELAY_CAUSES = (
     "CarrierDelay",
@@ -80,10 +83,27 @@ def quality_rules() -> dict[str, tuple[Column, Column]]:
     }
 
 
-def rule_violations(raw: DataFrame) -> DataFrame:
-    """``(rule, checked, violations)`` for every rule, in one pass over the rows."""
-    rules = quality_rules()
-    counts = [
+def load_rules() -> dict[str, tuple[Column, Column]]:
+    """The rules of ``quality_rules``, and those that say how a row fits its file and what is
+    known of its outcome; over raw rows with their month keys."""
+    flown = iso_date(F.col("FlightDate"))
+    month, year = F.col("source_month").cast("int"), F.col("source_year").cast("int")
+    return {
+        **quality_rules(),
+        "flown_in_month_of_file": (
+            flown.isNotNull() & month.isNotNull() & year.isNotNull(),
+            (F.month(flown) != month) | (F.year(flown) != year),
+        ),
+        "cancellation_has_a_kind": (
+            F.coalesce(F.col("Cancelled") == 1, F.lit(False)),
+            flight_outcome() == "cancelled_other",
+        ),
+    }
+
+
+def _counts(rules: dict[str, tuple[Column, Column]]) -> list[Column]:
+    """For each rule the rows it is checked on and those that break it."""
+    return [
         count
         for name, (checked, broken) in rules.items()
         for count in (
@@ -91,11 +111,42 @@ def rule_violations(raw: DataFrame) -> DataFrame:
             F.count_if(checked & broken).alias(f"{name}_broken"),
         )
     ]
+
+
+@dataclass
+class RuleCounts:
+    """Counts of rules over rows that are on their way elsewhere: no pass of their own.
+
+    ``watch`` gives the rows back unchanged; ``found`` has the counts once these were written
+    or counted. The rows are to be watched in the last stage before they leave: the result of
+    such a task counts once, however often it is tried.
+    """
+
+    rules: dict[str, tuple[Column, Column]]
+    observation: Observation = field(default_factory=Observation)
+
+    def watch(self, rows: DataFrame) -> DataFrame:
+        return rows.observe(self.observation, *_counts(self.rules))
+
+    def found(self) -> dict[str, tuple[int, int]]:
+        """Rule name to (rows checked, rows that break it)."""
+        got = self.observation.get
+        return {name: (got[f"{name}_checked"], got[f"{name}_broken"]) for name in self.rules}
+
+    def frame(self, spark: SparkSession) -> DataFrame:
+        """``found`` as ``rule_violations`` gives it."""
+        rows = [(name, *counts) for name, counts in self.found().items()]
+        return spark.createDataFrame(rows, "rule string, checked bigint, violations bigint")
+
+
+def rule_violations(raw: DataFrame) -> DataFrame:
+    """``(rule, checked, violations)`` for every rule, in one pass over the rows."""
+    rules = quality_rules()
     cells = [
         cell
         for name in rules
         for cell in (F.lit(name), F.col(f"{name}_checked"), F.col(f"{name}_broken"))
     ]
-    return raw.agg(*counts).select(
+    return raw.agg(*_counts(rules)).select(
         F.stack(F.lit(len(rules)), *cells).alias("rule", "checked", "violations")
     )

@@ -2,9 +2,12 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable, Iterable
+
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tarmac.functions.codes import last_path_part, month_url
 from tarmac.sources.extracts import (
@@ -20,22 +23,28 @@ from tarmac.sources.versions import publish_version
 MONTH_KEYS = ["source_year", "source_month"]
 
 
-def write_lake(df: DataFrame, root: str) -> None:
+def write_lake(
+    df: DataFrame, root: str, watch: Callable[[DataFrame], DataFrame] | None = None
+) -> None:
     """Replace the months present in ``df``; other months stay.
 
+    ``watch`` gets the rows as they are written and gives them back, for checks in the
+    same pass: ``quality.RuleCounts(...).watch``.
+
     Directories are zero-padded so that listings sort by time. Rebalancing
     gathers a small month into one file and spreads a large one over several
     tasks, so no month goes through a single task.
     """
+    rows = df.withColumns(
+        {
+            "source_year": F.format_string("%04d", "source_year"),
+            "source_month": F.format_string("%02d", "source_month"),
+        }
+    ).hint("rebalance", *MONTH_KEYS)
+    if watch:
+        rows = watch(rows)
     (
-        df.withColumns(
-            {
-                "source_year": F.format_string("%04d", "source_year"),
-                "source_month": F.format_string("%02d", "source_month"),
-            }
-        )
-        .hint("rebalance", *MONTH_KEYS)
-        .write.mode("overwrite")
+        rows.write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
         .option("compression", "snappy")
         .partitionBy(*MONTH_KEYS)
@@ -68,6 +77,48 @@ def loaded_months(spark: SparkSession, root: str) -> DataFrame:
     return files.select(*month_of_folder(F.col("path"))).distinct()
 
 
+def _quoted(name: str) -> str:
+    return ".".join(f"`{part}`" for part in name.split("."))
+
+
+def create_lake_table(spark: SparkSession, name: str, root: str, columns: T.StructType) -> None:
+    """An external table over a lake, by name, with the months that the lake has.
+
+    ``columns`` are those of the files, with or without the month keys. The catalogue
+    keeps the months and where each lies: a query on month keys asks it and lists the
+    folders of these months only, never the root. Dropping the table leaves the files.
+    """
+    own = T.StructType([f for f in columns if f.name not in MONTH_KEYS])
+    if not spark.catalog.tableExists(name):
+        keys = ", ".join(f"{key} INT" for key in MONTH_KEYS)
+        listed = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in own)
+        where = spark._jvm.org.apache.hadoop.fs.Path(root)
+        system = where.getFileSystem(spark._jsc.hadoopConfiguration())
+        spark.sql(
+            f"CREATE TABLE {_quoted(name)} ({listed}, {keys}) USING parquet "
+            f"PARTITIONED BY ({', '.join(MONTH_KEYS)}) LOCATION '{system.makeQualified(where).toString()}'"
+        )
+    months = loaded_months(spark, root).collect()  # names of months
+    register_months(spark, name, root, [tuple(r) for r in months])
+
+
+def register_months(
+    spark: SparkSession, name: str, root: str, months: Iterable[tuple[int, int]]
+) -> None:
+    """Make months visible in the lake's table that were loaded or loaded anew. One call to
+    the catalogue; nothing is listed."""
+    months = sorted(set(months))
+    if months:
+        root = root.rstrip("/")
+        parts = " ".join(
+            f"PARTITION (source_year = {y}, source_month = {m}) "
+            f"LOCATION '{root}/source_year={y:04d}/source_month={m:02d}'"
+            for y, m in months
+        )
+        spark.sql(f"ALTER TABLE {_quoted(name)} ADD IF NOT EXISTS {parts}")
+    spark.catalog.refreshTable(name)  # what is known of the files of a month loaded anew
+
+
 def month_calendar(bounds: DataFrame, start: Column, end: Column) -> DataFrame:
     """Every month from ``start`` to ``end`` inclusive, for one row of bounds."""
     first, last = F.trunc(start, "month"), F.trunc(end, "month")
@@ -96,6 +147,8 @@ def ingest_archives(
     ingested_at: Column | None = None,
     start: Column | None = None,
     published: DataFrame | None = None,
+    watch: Callable[[DataFrame], DataFrame] | None = None,
+    table: str | None = None,
 ) -> list[tuple[int, int]]:
     """Load every published month the lake lacks; returns the months written.
 
@@ -103,7 +156,9 @@ def ingest_archives(
     all archived months count. ``published`` holds the months that are out by
     their keys, by default those with an archive; a published month without an archive
     stops the load. Archives already loaded are not opened. The pending ones are
-    unpacked, checked, typed and written as one job whatever their number.
+    unpacked, checked, typed and written as one job whatever their number. ``watch`` gets the
+    rows that are written, as in ``write_lake``; the months are added to ``table`` if one is
+    named, a table of ``create_lake_table`` that is made if need be.
 
     Nothing is written when two archives claim one pending month. After writing,
     the months wanted are compared with those in the lake, and a missing one is an
@@ -130,15 +185,17 @@ def ingest_archives(
     months = read_months_csv(spark, [r.csv_path for r in unpacked.collect()])
     dated = months.select("*", *month_of_folder(F.col("_path"))).drop("_path")
     source_file = last_path_part(month_url(F.col("source_year"), F.col("source_month")))
-    write_lake(
-        annotate(dated, source_file, F.col("source_year"), F.col("source_month"), ingested_at),
-        root,
-    )
+    rows = annotate(dated, source_file, F.col("source_year"), F.col("source_month"), ingested_at)
+    write_lake(rows, root, watch)
     stored = {tuple(r) for r in loaded_months(spark, root).collect()}
     done = [(r.source_year, r.source_month) for r in wanted]
     absent = [month for month in done if month not in stored]
     if absent:
         raise ValueError(f"months that were unpacked but did not reach the lake: {absent}")
+    if table and spark.catalog.tableExists(table):
+        register_months(spark, table, root, done)
+    elif table:
+        create_lake_table(spark, table, root, rows.schema)
     return done
 
 
