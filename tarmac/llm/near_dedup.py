@@ -20,9 +20,8 @@ No bucket is expanded into all its pairs:
    sizes. A text belongs to the family of the highest of the heads of its buckets. Of a
    family all members are compared with its middle: the one whose votes, 128 bits that depend on
    few shingles each, agree best with those of most members. Near copies of one text differ
-   from it less than from each other, so it is in the middle, whichever is read first.
-   Buckets that hold several components then are compared with their head, and with more of
-   them if ``HEADS`` says so. That is linear in the members.
+   from it less than from each other, so it is in the middle, whichever is read first. That
+   is one pair a text.
 3. Buckets that still hold several components hold texts that share a long passage only, or
    families whose common origin is missing. All their members go through an exact join:
    shingles have one order, about from the rarest, and the first shingle that two texts
@@ -58,6 +57,7 @@ from tarmac.llm.texts import (
     split_words,
     window_hashes,
     with_row,
+    with_row_of_all,
     word_hashes,
 )
 from tarmac.session import ensure_checkpoint_dir
@@ -66,8 +66,6 @@ SHINGLE = 5
 THRESHOLD = 0.8
 #: Coordinates of the sketch and shingles a coordinate.
 COORDINATES, PICKS = 16, 3
-#: Heads that a bucket with several components is compared with.
-HEADS = 1
 #: Counters by which shingles are put in order, from the rarest.
 COUNTERS = 1 << 20
 #: Occurrences from which the places of a shingle are kept as one number.
@@ -325,22 +323,14 @@ def _heads(members: DataFrame) -> DataFrame:
     )
 
 
-def _labelled(members: DataFrame, labels: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """Members of buckets with several components, with their labels, and the label that most
-    members of each of these buckets have (key, most)."""
-    own = members.join(labels, "node", "left").withColumn("label", F.coalesce("label", "node"))
-    parts = own.groupBy("key", "label").agg(F.count(F.lit(1)).alias("n"))
-    mixed = parts.groupBy("key").agg(
-        F.max(F.struct("n", "label")).alias("top"), F.count(F.lit(1)).alias("parts")
+def _undecided(members: DataFrame, labels: DataFrame) -> DataFrame:
+    """(node, label) of the members of buckets that hold several components."""
+    own = members.join(labels, "node", "left").select(
+        "key", "node", F.coalesce("label", "node").alias("label")
     )
-    mixed = mixed.filter("parts > 1").select("key", F.col("top.label").alias("most")).checkpoint()
-    return own.join(mixed.select("key"), "key").checkpoint(), mixed
-
-
-def _ordered(pairs: DataFrame) -> DataFrame:
-    """(head, node) as distinct (a, b)."""
-    ends = [F.least("head", "node").alias("a"), F.greatest("head", "node").alias("b")]
-    return pairs.select(*ends).distinct()
+    ends = own.groupBy("key").agg(F.min("label").alias("low"), F.max("label").alias("high"))
+    mixed = ends.filter("low < high").select("key").checkpoint()
+    return own.join(mixed, "key").select("node", "label").distinct().checkpoint()
 
 
 def _middles(nearest: DataFrame, votes: DataFrame) -> DataFrame:
@@ -371,31 +361,17 @@ def _middles(nearest: DataFrame, votes: DataFrame) -> DataFrame:
     return found.filter("node != head")
 
 
-def _by_heads(members: DataFrame, words: DataFrame, votes: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """(a, b, jaccard, similarity) of members with heads of their buckets, and the members
-    (node, label) of the buckets that hold several components after that."""
+def _spokes(members: DataFrame, votes: DataFrame) -> DataFrame:
+    """(a, b): each member with the middle of its family."""
     spokes = members.join(_heads(members).checkpoint(), "key").filter("head != node")
     nearest = spokes.groupBy("node").agg(
         F.max(F.struct("head_score", (-F.col("head")).alias("last"))).alias("first")
     )
     nearest = nearest.select("node", (-F.col("first.last")).alias("head")).checkpoint()
     scored = votes.join(members.select("node", "score").distinct(), "node")
-    pairs, tried = _ordered(_middles(nearest, scored)), None
-    for turn in range(1 + HEADS):
-        if tried is not None:
-            pairs = pairs.join(tried.select("a", "b"), ["a", "b"], "left_anti")
-        new = _compare(pairs, words)
-        tried = (new if tried is None else tried.union(new)).checkpoint()
-        links = tried.filter(F.col("similarity") >= THRESHOLD).select("a", "b")
-        own, mixed = _labelled(members, components(links))
-        if turn == HEADS or own.isEmpty():
-            break
-        # The first of these heads is any member, the next one is not of the largest component.
-        of = own if not turn else own.join(mixed, "key").filter("label != most")
-        label = own.select("key", F.col("node").alias("head"), F.col("label").alias("head_label"))
-        heads = _heads(of).join(label, ["key", "head"]).checkpoint()
-        pairs = _ordered(own.join(heads, "key").filter("label != head_label"))
-    return tried, own.select("node", "label").distinct().checkpoint()
+    pairs = _middles(nearest, scored)
+    ends = [F.least("head", "node").alias("a"), F.greatest("head", "node").alias("b")]
+    return pairs.select(*ends).distinct()
 
 
 def _counter(labelled: np.ndarray) -> np.ndarray:
@@ -414,9 +390,9 @@ def _frequencies(words: DataFrame) -> np.ndarray:
         yield pa.RecordBatch.from_pydict({"counter": used, "n": total[used]})
 
     counted = words.mapInArrow(run, "counter bigint, n bigint").groupBy("counter")
-    found = counted.agg(F.sum("n").alias("n")).toPandas()
+    found = counted.agg(F.sum("n").alias("n")).toArrow()
     out = np.zeros(COUNTERS, np.int64)
-    out[found["counter"].to_numpy(np.int64)] = found["n"].to_numpy(np.int64)
+    out[found["counter"].to_numpy()] = found["n"].to_numpy()
     return out
 
 
@@ -518,8 +494,9 @@ def classes(docs: DataFrame) -> DataFrame:
     members = _shared(copies.select("node", F.explode("sketch").alias("key")))
     words = _word_values(docs, members.select("node").distinct()).checkpoint()
 
-    tried, undecided = _by_heads(members, words, copies.select("node", "votes"))
+    tried = _compare(_spokes(members, copies.select("node", "votes")), words).checkpoint()
     links = tried.filter(F.col("similarity") >= THRESHOLD).select("a", "b")
+    undecided = _undecided(members, components(links))
     if not undecided.isEmpty():
         rest = _prefix_pairs(undecided, words).join(tried.select("a", "b"), ["a", "b"], "left_anti")
         found = _compare(rest, words).filter(F.col("similarity") >= THRESHOLD)
@@ -545,5 +522,5 @@ def classes(docs: DataFrame) -> DataFrame:
 def one_of_each(docs: DataFrame) -> DataFrame:
     """The kept rows of ``docs``, all columns."""
     dropped = classes(docs).filter(~F.col("kept")).select("_row")
-    rows = docs.select(F.monotonically_increasing_id().alias("_row"), F.struct("*").alias("doc"))
+    rows = with_row_of_all(docs)
     return rows.join(dropped, "_row", "left_anti").select("doc.*")
