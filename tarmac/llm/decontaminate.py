@@ -26,7 +26,15 @@ from pyspark import Broadcast
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tarmac.llm.texts import ALNUM, Words, slices, split_words, with_row, word_hashes
+from tarmac.llm.texts import (
+    ALNUM,
+    Words,
+    slices,
+    split_words,
+    with_row,
+    with_row_of_all,
+    word_hashes,
+)
 from tarmac.session import ensure_checkpoint_dir
 
 WINDOW = 13
@@ -280,5 +288,5 @@ def contamination(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
 def decontaminate(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     """The rows of ``docs`` that are not contaminated, all columns."""
     affected = contamination(docs, benchmark).filter("contaminated").select("_row")
-    rows = docs.select(F.monotonically_increasing_id().alias("_row"), F.struct("*").alias("doc"))
+    rows = with_row_of_all(docs)
     return rows.join(affected, "_row", "left_anti").select("doc.*")

@@ -17,7 +17,7 @@ import uuid
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tarmac.llm.texts import with_row
+from tarmac.llm.texts import with_row, with_row_of_all
 from tarmac.session import ensure_checkpoint_dir
 
 #: At most so many digests can each hold the share of the rows that makes one hot.
@@ -136,5 +136,5 @@ def dedup_exact(docs: DataFrame) -> DataFrame:
 def distinct_texts(docs: DataFrame) -> DataFrame:
     """``docs`` without the rows whose text another row keeps; all columns."""
     dropped = dedup_exact(docs).filter(~F.col("kept")).select("_row")
-    rows = docs.select(F.monotonically_increasing_id().alias("_row"), F.struct("*").alias("doc"))
+    rows = with_row_of_all(docs)
     return rows.join(dropped, "_row", "left_anti").select("doc.*")

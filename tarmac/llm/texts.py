@@ -56,15 +56,34 @@ def small_batches(docs: DataFrame) -> DataFrame:
     return docs
 
 
+def stable_splits(docs: DataFrame) -> DataFrame:
+    """``docs``, whose session is made to split files alike in every job.
+
+    Without a least number of splits, Spark takes the cores alive when a job is planned, so a
+    lost executor would change the splits between two scans of one operator.
+    """
+    setting, conf = "spark.sql.files.minPartitionNum", docs.sparkSession.conf
+    if conf.get(setting, None) is None:
+        cores = conf.get("spark.sql.leafNodeDefaultParallelism", None)
+        conf.set(setting, str(cores or docs.sparkSession.sparkContext.defaultParallelism))
+    return docs
+
+
 def with_row(docs: DataFrame, *columns: str) -> DataFrame:
     """``_row`` and the named columns, nothing else.
 
-    ``_row`` tells rows apart even where ids repeat or are null. It depends on how
-    the input is split, so the input must come back alike when a task is repeated:
-    a table scan does.
+    ``_row`` tells rows apart even where ids repeat or are null. It depends on how the input
+    is split, which ``stable_splits`` keeps alike from job to job for a scan of files. Other
+    input is to be written to a table first.
     """
     row = F.monotonically_increasing_id().alias("_row")
-    return small_batches(docs).select(row, *columns)
+    return small_batches(stable_splits(docs)).select(row, *columns)
+
+
+def with_row_of_all(docs: DataFrame) -> DataFrame:
+    """``_row``, the same as ``with_row`` gives, and the whole row as ``doc``."""
+    row = F.monotonically_increasing_id().alias("_row")
+    return stable_splits(docs).select(row, F.struct("*").alias("doc"))
 
 
 def hash_share(*columns: str) -> Column:
