@@ -19,10 +19,11 @@ from tarmac.operators import (
     profile,
     quality,
     staging,
+    stored_profiles,
 )
 from tarmac.plans import marts, star
 from tarmac.session import scratch_folder
-from tarmac.sources import extracts, headers, lake, lookups
+from tarmac.sources import extracts, footers, headers, lake, lookups
 from tarmac.sources.fields import FIELDS, MODELLED_LOOKUPS
 
 
@@ -288,6 +289,26 @@ def numeric_summary_lineitem(t: Tables) -> DataFrame:
     return _rounded(profile.numeric_summary(t.given("lineitem")))
 
 
+def _stored_profile(t: Tables) -> DataFrame:
+    """Profiles of all months, stored in two loads, merged."""
+    early = F.col("source_year") < 1998
+    with scratch_folder(t.spark) as root:
+        for part in (early, ~early):
+            stored_profiles.store_profiles(t.raw.filter(part), root)
+        return stored_profiles.merged(stored_profiles.read_profiles(t.spark, root)).checkpoint()
+
+
+@query
+def stored_null_profile(t: Tables) -> DataFrame:
+    return stored_profiles.null_profile(_stored_profile(t))
+
+
+@query
+def stored_moments(t: Tables) -> DataFrame:
+    summary = stored_profiles.numeric_summary(_stored_profile(t))
+    return _rounded(summary.drop(*profile.QUANTILES))
+
+
 def _all_lookups(t: Tables) -> dict[str, DataFrame]:
     return {name: t.raw_lookup(name) for name in MODELLED_LOOKUPS}
 
@@ -481,6 +502,18 @@ def lake_scan(t: Tables) -> DataFrame:
         return _long_columns(found, *lake.MONTH_KEYS).checkpoint()
 
 
+@query
+def stored_schema_diff(t: Tables) -> DataFrame:
+    """A lake whose months differ in some columns, compared by the footers of its files."""
+    months = t.raw.select(*lake.MONTH_KEYS, "Origin", "Distance", "DepDelay").filter("source_month <= 3")
+    with scratch_folder(t.spark) as root:
+        for month, left_out in ((1, "Distance"), (2, None), (3, "DepDelay")):
+            own = months.filter(F.col("source_month") == month)
+            lake.write_lake(own.drop(left_out) if left_out else own, root)
+        diff = headers.schema_diff(footers.stored_columns(t.spark, root))
+        return diff.checkpoint()
+
+
 @query
 def lake_table(t: Tables) -> DataFrame:
     """A lake of one half of the months under a name, the others loaded later, by SQL."""
