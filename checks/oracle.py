@@ -523,15 +523,15 @@ ORACLE["stored_null_profile"] = f"select * from ({ORACLE['null_profile']}) where
 ORACLE["stored_moments"] = f"""select "column", "count", mean, std, "min", "max"
 from ({ORACLE['numeric_summary']}) where {_NO_KEYS}"""
 ORACLE["stored_schema_diff"] = f"""{RAW},
-m as (select distinct source_year as y, source_month as mo from raw_ontime where source_month <= 3),
-c as (select printf('%04d-%02d', y, mo) as sample, u.name as "column"
- from m, (values ('Origin: string', 0), ('Distance: float', 1), ('DepDelay: float', 3)) u(name, gone)
+loaded as (select distinct source_year as y, source_month as mo from raw_ontime where source_month <= 3),
+cells as (select printf('%04d-%02d', y, mo) as sample, u.name as "column"
+ from loaded, (values ('Origin: string', 0), ('Distance: float', 1), ('DepDelay: float', 3)) u(name, gone)
  where mo <> gone),
-s as (select sample as sample_from, lead(sample) over (order by sample) as sample_to
- from (select distinct sample from c))
-select sample_from, sample_to, 'added' as change, b."column" from s join c b on b.sample = sample_to
-where not exists (select 1 from c a where a.sample = sample_from and a."column" = b."column")
+steps as (select sample as sample_from, lead(sample) over (order by sample) as sample_to
+ from (select distinct sample from cells))
+select sample_from, sample_to, 'added' as change, b."column" from steps join cells b on b.sample = sample_to
+where not exists (select 1 from cells a where a.sample = sample_from and a."column" = b."column")
 union all
-select sample_from, sample_to, 'removed', a."column" from s join c a on a.sample = sample_from
+select sample_from, sample_to, 'removed', a."column" from steps join cells a on a.sample = sample_from
 where sample_to is not null and not exists
- (select 1 from c b where b.sample = sample_to and b."column" = a."column")"""
+ (select 1 from cells b where b.sample = sample_to and b."column" = a."column")"""
