@@ -7,10 +7,12 @@ maximisation with the same sums. The vocabulary's byte pieces stand for whatever
 occurs, so every word has a probability. Pieces that begin a word begin with a space here.
 
 Learned from a bounded sample: at most ``TRAIN_ROWS`` rows a language, those whose ids hash
-lowest, of the ``MOST_LANGUAGES`` languages with most rows. Languages are equally likely
-beforehand. Letters are folded to lower case; digits and punctuation say nothing.
+lowest. Every language is learned and scored, in blocks of ``BLOCK_LANGUAGES`` if there are
+more. Languages are equally likely beforehand. Letters are folded to lower case; digits and punctuation say nothing.
 
-A text that is null or has no letter is ``und`` with score 0, as is every text if
+Texts are taken whole, however long, and each row by itself: repeated rows get repeated
+results, an empty table an empty one, and columns other than ``doc_id``, ``text`` and ``lang``
+are not read, whatever they are called. A text that is null or has no letter is ``und`` with score 0, as is every text if
 nothing could be learned. Ties go to the language that sorts first. Rows with a null doc_id
 or lang are never learned from; a null doc_id counts as held out.
 """
@@ -18,7 +20,7 @@ or lang are never learned from; a null doc_id counts as held out.
 from __future__ import annotations
 
 from collections.abc import Iterator
-from functools import lru_cache
+from functools import lru_cache, reduce
 
 import numpy as np
 import pandas as pd
@@ -27,11 +29,20 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tarmac.llm.texts import distinct, hash_share, slices, small_batches, split_words, word_hashes
+from tarmac.llm.texts import (
+    distinct,
+    hash_share,
+    slices,
+    small_batches,
+    split_words,
+    with_row,
+    word_hashes,
+)
 from tarmac.llm.toxicity import id_fold
 
 TRAIN_ROWS = 400
-MOST_LANGUAGES = 256
+#: Languages that are learned and scored at once.
+BLOCK_LANGUAGES = 256
 ROUNDS = 4
 #: Expected count that every piece has beforehand.
 PRIOR = 0.01
@@ -40,7 +51,8 @@ UNKNOWN = "und"
 _LETTERS = np.zeros(256, bool)
 _LETTERS[0x61:0x7B] = True
 _LETTERS[0x80:] = True
-_CACHE_WORDS = 1_000_000
+# Words that a worker keeps, and their probabilities under all languages of a block.
+_CACHE_WORDS, _CACHE_CELLS = 1_000_000, 1 << 26
 _BLOCK = 1 << 17  # cells of the word matrix that are worked on at once
 _RESCALE = 16
 _PART_BYTES = 64
@@ -191,16 +203,21 @@ def _letters(column: pa.Array):
     return split_words(pc.utf8_lower(pc.fill_null(column.cast(pa.large_string()), "")), _LETTERS)
 
 
-def _sample(docs: DataFrame, folds: int, held_out: int) -> DataFrame:
-    """(doc_id, lang) of the rows to learn from; its size is bounded."""
+def _examples(docs: DataFrame, folds: int, held_out: int) -> DataFrame:
     own = id_fold(F.col("doc_id"), folds) != held_out
-    rows = docs.filter(F.col("lang").isNotNull() & F.col("text").isNotNull() & own)
-    rows = rows.select("doc_id", "lang")
-    common = rows.groupBy("lang").count().orderBy(F.desc("count"), "lang").limit(MOST_LANGUAGES)
+    return docs.filter(F.col("lang").isNotNull() & F.col("text").isNotNull() & own)
+
+
+def _sample(docs: DataFrame, langs: dict[str, int], folds: int, held_out: int) -> DataFrame:
+    """(doc_id, lang) of the rows to learn from, for languages with their numbers of rows; its
+    size is bounded by that of a block of languages."""
+    counts = docs.sparkSession.createDataFrame([*langs.items()], "lang string, count bigint")
     order = Window.partitionBy("lang").orderBy(hash_share("doc_id"), "doc_id")
     # Twice as many as wanted pass by their hash, so few rows of a language meet.
     return (
-        rows.join(F.broadcast(common), "lang")
+        _examples(docs, folds, held_out)
+        .select("doc_id", "lang")
+        .join(F.broadcast(counts), "lang")
         .filter(hash_share("doc_id") <= 2.0 * TRAIN_ROWS / F.col("count"))
         .withColumn("n", F.row_number().over(order))
         .filter(F.col("n") <= TRAIN_ROWS)
@@ -212,7 +229,21 @@ def _sample(docs: DataFrame, folds: int, held_out: int) -> DataFrame:
 def train(
     docs: DataFrame, vocabulary_path: str, folds: int = 4, held_out: int = 2
 ) -> dict[str, np.ndarray]:
-    """Piece probabilities of each language that the rows outside the fold ``held_out`` name."""
+    """Piece probabilities of each language that the rows outside the fold ``held_out`` name.
+
+    Languages are learned in blocks of ``BLOCK_LANGUAGES``, each from a sample of its own.
+    """
+    counts = _examples(docs, folds, held_out).groupBy("lang").count()
+    found = sorted(map(tuple, counts.collect()))  # a row for each language
+    model: dict[str, np.ndarray] = {}
+    for low in range(0, len(found), BLOCK_LANGUAGES):
+        block = dict(found[low : low + BLOCK_LANGUAGES])
+        model |= _fit_block(docs, _sample(docs, block, folds, held_out), vocabulary_path)
+    return model
+
+
+def _fit_block(docs: DataFrame, sample: DataFrame, vocabulary_path: str) -> dict[str, np.ndarray]:
+    """Piece probabilities of the languages in the sample (doc_id, lang)."""
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches, "text"):
@@ -241,7 +272,7 @@ def train(
     fitted = (
         small_batches(docs)
         .select("doc_id", "lang", "text")
-        .join(F.broadcast(_sample(docs, folds, held_out)), ["doc_id", "lang"])
+        .join(F.broadcast(sample), ["doc_id", "lang"])
         .select("lang", "text")
         .mapInArrow(count, "lang string, word binary, n bigint")
         .groupBy("lang", "word")
@@ -266,7 +297,7 @@ class _WordTable:
 
     def of(self, words) -> np.ndarray:
         hashes, first, which = distinct(word_hashes(words))
-        if len(self.keys) > _CACHE_WORDS:
+        if len(self.keys) > min(_CACHE_WORDS, _CACHE_CELLS // self.chance.shape[1]):
             self._forget()
         at = np.searchsorted(self.keys, hashes)
         known = np.zeros(len(hashes), bool)
@@ -293,10 +324,13 @@ def _table(key: int, path: str, chance: np.ndarray) -> _WordTable:
     return _TABLES[key]
 
 
-def identify(docs: DataFrame, model: dict[str, np.ndarray], vocabulary_path: str) -> DataFrame:
-    """doc_id, lang_pred, score (probability of that language given the text)."""
-    names = np.array([*model, UNKNOWN], object)
-    chance = np.stack([*model.values()], axis=1) if model else np.zeros((0, 0))
+def _block_scores(
+    docs: DataFrame, block: dict[str, np.ndarray], vocabulary_path: str
+) -> DataFrame:
+    """_row, doc_id, and of the block's languages the best, its log probability, the sum of all
+    probabilities as multiples of the best's; null for texts without letters."""
+    names = np.array([*block], object)
+    chance = np.stack([*block.values()], axis=1)
     chance = np.vstack([chance, np.zeros((1, chance.shape[1]))])
     sent = docs.sparkSession.sparkContext.broadcast(chance)
     stamp = hash(chance.tobytes())
@@ -305,29 +339,59 @@ def identify(docs: DataFrame, model: dict[str, np.ndarray], vocabulary_path: str
         for batch in slices(batches, "text"):
             column = batch.column("text")
             words = _letters(column)
-            n, k = batch.num_rows, len(names) - 1
-            total = np.zeros((n, k))
-            if k:
-                logs = _table(stamp, vocabulary_path, sent.value).of(words)
-                text_of = words.text_of()
-                total = np.stack([np.bincount(text_of, logs[:, i], n) for i in range(k)], axis=1)
-            best = total.argmax(axis=1) if k else np.zeros(n, np.int64)
-            top = total[np.arange(n), best][:, None] if k else np.zeros((n, 1))
-            score = 1 / np.maximum(np.exp(total - top).sum(axis=1), 1)
+            n, k = batch.num_rows, len(names)
+            logs = _table(stamp, vocabulary_path, sent.value).of(words)
+            text_of = words.text_of()
+            total = np.stack([np.bincount(text_of, logs[:, i], n) for i in range(k)], axis=1)
+            best = total.argmax(axis=1)
+            top = total[np.arange(n), best]
             # ASCII letters are words already; other words may be all symbols.
             letters = pc.fill_null(pc.match_substring_regex(column, r"\p{L}"), False)
-            known = np.asarray(letters) & (np.diff(words.first) > 0) & (k > 0)
+            known = np.asarray(letters) & (np.diff(words.first) > 0)
             yield pa.RecordBatch.from_arrays(
                 [
+                    batch.column("_row"),
                     batch.column("doc_id"),
-                    pa.array(names[np.where(known, best, k)], pa.string()),
-                    pa.array(np.where(known, score, 0.0)),
+                    pa.array(np.where(known, names[best], None), pa.string()),
+                    pa.array(top),
+                    pa.array(np.exp(total - top[:, None]).sum(axis=1)),
                 ],
-                ["doc_id", "lang_pred", "score"],
+                ["_row", "doc_id", "best", "top", "sum"],
             )
 
-    return small_batches(docs).select("doc_id", "text").mapInArrow(
-        run, "doc_id bigint, lang_pred string, score double"
+    return with_row(docs, "doc_id", "text").mapInArrow(
+        run, "_row bigint, doc_id bigint, best string, top double, sum double"
+    )
+
+
+def identify(docs: DataFrame, model: dict[str, np.ndarray], vocabulary_path: str) -> DataFrame:
+    """doc_id, lang_pred, score (probability of that language given the text).
+
+    Up to ``BLOCK_LANGUAGES`` languages are scored in one scan without a shuffle. More are scored
+    in blocks, a scan each, and the best of a text's blocks counts.
+    """
+    langs = sorted(model)
+    blocks = [langs[k : k + BLOCK_LANGUAGES] for k in range(0, len(langs), BLOCK_LANGUAGES)]
+    if not blocks:
+        none = F.lit(UNKNOWN).alias("lang_pred"), F.lit(0.0).alias("score")
+        return docs.select("doc_id", *none)
+    scored = [_block_scores(docs, {n: model[n] for n in own}, vocabulary_path) for own in blocks]
+    found = scored[0]
+    if len(blocks) > 1:
+        # Of languages with equal scores the first by name, as within a block.
+        rows = reduce(DataFrame.union, scored).groupBy("_row").agg(
+            F.first("doc_id").alias("doc_id"),
+            F.collect_list(F.struct((-F.col("top")).alias("less"), "best", "sum")).alias("own"),
+        )
+        first = F.array_min("own")
+        share = F.aggregate(
+            "own", F.lit(0.0), lambda t, x: t + x["sum"] * F.exp(first["less"] - x["less"])
+        )
+        found = rows.select("doc_id", first["best"].alias("best"), share.alias("sum"))
+    return found.select(
+        "doc_id",
+        F.coalesce("best", F.lit(UNKNOWN)).alias("lang_pred"),
+        F.when(F.col("best").isNotNull(), 1 / F.greatest("sum", F.lit(1.0))).otherwise(0.0).alias("score"),
     )
 
 
