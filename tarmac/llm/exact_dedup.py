@@ -72,9 +72,13 @@ class DigestIndex:
             .saveAsTable(self.name)
         )
 
-    def ingest(self, docs: DataFrame) -> DataFrame:
+    def ingest(self, docs: DataFrame, batch: str | None = None) -> DataFrame:
         """Append the new texts of ``docs`` and return a row for each of its rows.
 
+        ``batch`` names this batch. A driver that died may ingest the same rows under the same
+        name again, whatever it had appended: texts that are in the index under this name count
+        as this batch's own, so the verdicts are those of the first time.
+
         Returns _row, doc_id, digest, keep_id (of this batch or an earlier one),
         group_size (rows of this batch with that text), kept.
         """
@@ -85,7 +89,7 @@ class DigestIndex:
             F.min(F.struct(F.isnull("doc_id").alias("no_id"), "doc_id", "_row")).alias("first"),
             F.count(F.lit(1)).alias("group_size"),
         )
-        batch = uuid.uuid4().hex
+        batch = batch or uuid.uuid4().hex
         known = self.rows().hint("merge")
         novel = groups.join(known, "digest", "left_anti")
         self._append(

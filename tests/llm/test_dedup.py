@@ -37,6 +37,32 @@ def test_index_keeps_texts_of_earlier_batches(spark, table):
         index.drop()
 
 
+@pytest.mark.parametrize("appended", ["all", "some"])
+def test_a_batch_may_be_ingested_again(spark, table, monkeypatch, appended):
+    """As by a driver that died after the append, or that had appended a part of it only."""
+    index = exact_dedup.DigestIndex(spark)
+    try:
+        index.ingest(table([(1, "a"), (2, "b")]), "monday")
+        rows = table([(3, "b"), (4, "c"), (5, "c"), (6, "d"), (None, "e")])
+        if appended == "some":
+            append = exact_dedup.DigestIndex._append
+            monkeypatch.setattr(
+                exact_dedup.DigestIndex, "_append", lambda self, new: append(self, new.filter("keep_id = 4"))
+            )
+            index.ingest(rows, "tuesday")
+            monkeypatch.undo()
+        else:
+            index.ingest(rows, "tuesday")
+        again = index.ingest(rows, "tuesday").collect()
+        assert {(r.doc_id, r.keep_id, r.kept) for r in again} == {
+            (3, 2, False), (4, 4, True), (5, 4, False), (6, 6, True), (None, None, True),
+        }
+        assert index.rows().count() == 5
+        assert not any(r.kept for r in index.ingest(rows, "wednesday").collect())
+    finally:
+        index.drop()
+
+
 def test_a_batch_goes_to_the_index_and_not_the_other_way(spark, sf_dir):
     docs = queries.given(spark, sf_dir, "documents")
     index = exact_dedup.DigestIndex(spark, buckets=6)
