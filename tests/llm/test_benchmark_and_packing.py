@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 import corpus_pipeline
 from tarmac.llm import decontaminate, packing, queries
 from tests.llm.conftest import rows_of
+from tests.llm.test_dedup import labelled
 
 WORD = re.compile("[^\x00-\x2f\x3a-\x60\x7b-\x7f]+")
 LOWER = {c: c + 32 for c in range(65, 91)}
@@ -179,6 +180,41 @@ def test_pipeline_stages(spark, sf_dir):
     assert {r.doc_id for r in packed.collect()} <= ids - bad - hit
 
 
+def test_run_is_the_stages_in_turn(spark, sf_dir):
+    """What each stage leaves, by brute force but for the toxicity model, and all of it packed."""
+    docs = queries.given(spark, sf_dir, "documents")
+    bad = {r.doc_id for r in queries.op9_toxicity(spark, sf_dir).filter("predicted = 1").collect()}
+    left = {r.doc_id: r.text or "" for r in docs.collect() if r.doc_id not in bad}
+    first = {}
+    for i in sorted(left):
+        first.setdefault(re.sub("[\x20\x09-\x0d]+", " ", left[i]), i)
+    left = {i: left[i] for i in first.values()}
+    grams = {i: labelled(re.findall("[^\x20\x09-\x0d]+", t)) for i, t in left.items()}
+    parent = {i: i for i in left}
+
+    def root(i):
+        while parent[i] != i:
+            i = parent[i]
+        return i
+
+    for a in left:
+        for b in left:
+            common = len(grams[a] & grams[b])
+            if b < a and (common >= 0.8 * (len(grams[a]) + len(grams[b]) - common)):
+                high, low = sorted((root(a), root(b)), reverse=True)
+                parent[high] = low
+    left = {i: t for i, t in left.items() if root(i) == i}
+    items = [tuple(r) for r in queries.given(spark, sf_dir, "benchmark").select("item_id", "text").collect()]
+    hit = {row[0] for row in contamination(list(left.items()), items) if row[-1]}
+    packed = corpus_pipeline.run(spark, sf_dir).collect()
+    lengths = defaultdict(int)
+    for r in packed:
+        lengths[r.doc_id] += r.length
+    assert bad and hit and len(left) < docs.count() - len(bad)
+    assert set(lengths) == set(left) - hit
+    assert all(lengths[r.doc_id] == r.doc_tokens for r in packed)
+
+
 def test_pipeline_takes_awkward_rows(awkward, empty, sf_dir, spark):
     for docs in (awkward, empty):
         for _, stage in corpus_pipeline.STAGES[:-1]:
