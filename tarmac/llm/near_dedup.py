@@ -27,7 +27,8 @@ No bucket is expanded into all its pairs:
    shingles have one order, about from the rarest, and the first shingle that two texts
    have in common leaves enough of both for a J of the threshold, which only holds for the
    first few of either. Texts meet by these and not by the passage, whose shingles are
-   frequent, unless the passage alone makes them similar. No two members of the largest
+   frequent, unless the passage alone makes them similar; those that differ by more shingles
+   than they may do not meet, as 1,024 parity bits of either show. No two members of the largest
    component that a shingle holds meet, so a family that step 2 has joined costs nothing here.
 
 Texts of fewer than five words are one shingle, texts without words (null included)
@@ -68,6 +69,8 @@ THRESHOLD = 0.8
 COORDINATES, PICKS = 16, 3
 #: Counters by which shingles are put in order, from the rarest.
 COUNTERS = 1 << 20
+#: Times 64 bits by which texts that meet in the exact join are told apart.
+PARITY_WORDS = 16
 #: Occurrences from which the places of a shingle are kept as one number.
 _FREQUENT = 1000
 #: Places by which the band is moved on at once.
@@ -408,6 +411,31 @@ def first_shingles(
     return labelled[order[place]], place
 
 
+def parities(labelled: np.ndarray) -> np.ndarray:
+    """``PARITY_WORDS`` times 64 bits: whether an odd number of shingles falls to each. Two texts
+    differ by as many shingles at least as they do by bits."""
+    place = (mix(labelled ^ _XOR[1]) % np.uint64(64 * PARITY_WORDS)).astype(np.int64)
+    odd = (np.bincount(place, minlength=64 * PARITY_WORDS) & 1).astype(np.uint8)
+    return np.packbits(odd).view("<i8")
+
+
+def _parities(words: DataFrame) -> DataFrame:
+    """(node, m0, m1, ...) of the words by node."""
+    names = [f"m{k}" for k in range(PARITY_WORDS)]
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            own = [
+                parities(label_occurrences(_unpack(packed))) for packed in batch.column("words").to_pylist()
+            ]
+            columns = np.array(own, np.int64).reshape(len(own), PARITY_WORDS).T
+            yield pa.RecordBatch.from_arrays(
+                [batch.column("node"), *(pa.array(c) for c in columns)], ["node", *names]
+            )
+
+    return words.mapInArrow(run, "node bigint, " + ", ".join(f"{n} bigint" for n in names))
+
+
 def _at_least(x: float) -> int:
     """``x`` rounded up, but for what rounding may have added to it."""
     return int(np.ceil(x - 1e-9))
@@ -453,15 +481,18 @@ def _prefix_pairs(members: DataFrame, words: DataFrame) -> DataFrame:
         .select("key", F.col("top.most").alias("most"))
         .checkpoint()
     )
-    rows = rows.join(mixed, "key").checkpoint()
+    rows = rows.join(mixed, "key").join(_parities(words), "node").checkpoint()
+    bits = [f"m{k}" for k in range(PARITY_WORDS)]
 
     def side(kept: Column, name: str) -> DataFrame:
-        names = {"node": name, **{c: f"{name}_{c}" for c in ("label", "n", "rest")}}
+        names = {"node": name, **{c: f"{name}_{c}" for c in ("label", "n", "rest", *bits)}}
         return rows.filter(kept).select("key", *(F.col(c).alias(to) for c, to in names.items()))
 
     # No two members of the largest part of a key meet.
     away, short = F.col("label") != F.col("most"), F.col("short")
     enough = _SHARE * (F.col("x_n") + F.col("y_n")) - 1e-6
+    unlike = [F.bit_count(F.col(f"x_{c}").bitwiseXOR(F.col(f"y_{c}"))) for c in bits]
+    unlike = reduce(Column.__add__, unlike)
     found = [
         side(of_x & short, "x")
         .join(side(of_y, "y"), "key")
@@ -469,6 +500,7 @@ def _prefix_pairs(members: DataFrame, words: DataFrame) -> DataFrame:
             (F.col("x_label") != F.col("y_label"))
             & (F.col("x_n") <= F.col("y_n"))
             & (F.least("x_rest", "y_rest") >= enough)
+            & (unlike <= F.col("x_n") + F.col("y_n") - 2 * enough)
         )
         .select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b"))
         for of_x, of_y in ((away, F.lit(True)), (~away, away))

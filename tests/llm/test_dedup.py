@@ -422,6 +422,19 @@ def test_first_shingles_meet_for_every_similar_pair():
         assert rest >= common
 
 
+def test_parities_never_show_more_than_the_difference():
+    rng = np.random.default_rng(19)
+    for n in (0, 1, 50, 3000):
+        a = np.unique(rng.integers(0, 2**63, n).astype(np.uint64))
+        for share in (0, 0.1, 0.9):
+            kept = a[rng.random(len(a)) >= share]
+            b = np.concatenate([kept, rng.integers(0, 2**63, len(a) - len(kept)).astype(np.uint64)])
+            unlike = near_dedup.parities(a) ^ near_dedup.parities(b)
+            bits = sum(int(v & (2**64 - 1)).bit_count() for v in unlike.tolist())
+            assert bits <= len(np.setxor1d(a, b))
+            assert share == 0 or n != 50 or bits > 0.7 * len(np.setxor1d(a, b))
+
+
 def test_order_counts_for_similarity():
     a = near_dedup.shingles(np.arange(1, 101, dtype=np.uint64))
     b = near_dedup.shingles(np.concatenate([np.arange(51, 101), np.arange(1, 51)]).astype(np.uint64))
