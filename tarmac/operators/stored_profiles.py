@@ -19,8 +19,9 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tarmac.functions.rates import percent
-from tarmac.functions.sqltext import column_name
+from tarmac.functions.sqltext import column_name, text_literal
 from tarmac.operators.profile import QUANTILES, numeric_columns
+from tarmac.session import compile_wide_rows
 
 MONTH_KEYS = ["source_year", "source_month"]
 
@@ -29,52 +30,76 @@ SKETCH_K = 1000
 RANK_ERROR = 0.0028
 
 
+#: Measures of numbers and their types.
+_NUMBERS = {
+    "count": "bigint",
+    "mean": "double",
+    "squares": "double",
+    "min": "double",
+    "max": "double",
+    "sketch": "binary",
+}
+
+
+def _measures(i: int, number: bool) -> dict[str, str]:
+    """SQL per measure of column ``i`` over ``p`` (is it present) and ``v`` (its number)."""
+    present = {"non_null": f"count_if(p{i})"}
+    if not number:
+        return present
+    return present | {
+        "count": f"count(v{i})",
+        "mean": f"avg(v{i})",
+        "squares": f"var_pop(v{i}) * count(v{i})",
+        "min": f"min(v{i})",
+        "max": f"max(v{i})",
+        "sketch": f"kll_sketch_agg_double(v{i}, {SKETCH_K})",
+    }
+
+
 def month_profiles(df: DataFrame) -> DataFrame:
     """Month keys, ``column``, ``type``, ``rows``, ``non_null`` and, null for what is no number,
     ``count, mean, squares, min, max, sketch``: a row per month and column, from one scan.
 
-    Cells are combined on the map side, to a row per month, column and task.
+    Rows are combined on the map side, to one wide row per month and task that holds the
+    measures of all columns; cells are never dealt out to rows of their own, which would have to
+    be sorted by month and column. The long form is made of the few wide rows.
     """
+    compile_wide_rows(df.sparkSession)
     numbers = set(numeric_columns(df))
     columns = [(n, t) for n, t in df.dtypes if n not in MONTH_KEYS]
-    cells = ", ".join(
-        f"struct({column_name(n)} is not null as present, "
-        f"{f'cast({column_name(n)} as double)' if n in numbers else 'cast(null as double)'} as value)"
-        for n, _ in columns
+    cells = df.select(
+        *MONTH_KEYS,
+        *[F.expr(f"{column_name(n)} is not null as p{i}") for i, (n, _) in enumerate(columns)],
+        *[
+            F.expr(f"nullif(cast({column_name(n)} as double), double('NaN')) as v{i}")
+            for i, (n, _) in enumerate(columns)
+            if n in numbers
+        ],
     )
-    value = F.when(~F.isnan("cell.value"), F.col("cell.value"))
-    found = (
-        df.select(*MONTH_KEYS, F.expr(f"posexplode(array({cells})) as (pos, cell)"))
-        .select(*MONTH_KEYS, "pos", F.col("cell.present").alias("present"), value.alias("value"))
-        .groupBy(*MONTH_KEYS, "pos")
-        .agg(
-            F.count("*").alias("rows"),
-            F.count_if("present").alias("non_null"),
-            F.count("value").alias("count"),
-            F.avg("value").alias("mean"),
-            (F.var_pop("value") * F.count("value")).alias("squares"),
-            F.min("value").alias("min"),
-            F.max("value").alias("max"),
-            F.kll_sketch_agg_double("value", F.lit(SKETCH_K)).alias("sketch"),
-        )
+    found = cells.groupBy(*MONTH_KEYS).agg(
+        F.count("*").alias("rows"),
+        *[
+            F.expr(f"{sql} as {measure}{i}")
+            for i, (n, _) in enumerate(columns)
+            for measure, sql in _measures(i, n in numbers).items()
+        ],
     )
-    named = [(pos, n, t, n in numbers) for pos, (n, t) in enumerate(columns)]
-    layout = df.sparkSession.createDataFrame(named, "pos int, column string, type string, number boolean")
-    measures = [
-        F.when(F.col("number"), F.col(c)).alias(c)
-        for c in ("count", "mean", "squares", "min", "max", "sketch")
-    ]
-    return found.join(F.broadcast(layout), "pos").select(
-        *MONTH_KEYS, "column", "type", "rows", "non_null", *measures
+    long_form = ", ".join(
+        f"{text_literal(n)}, {text_literal(t)}, non_null{i}, "
+        + ", ".join(f"{m}{i}" if n in numbers else f"cast(null as {d})" for m, d in _NUMBERS.items())
+        for i, (n, t) in enumerate(columns)
     )
+    names = ", ".join(("column", "type", "non_null", *_NUMBERS))
+    return found.selectExpr(
+        *MONTH_KEYS, "rows", f"stack({len(columns)}, {long_form}) as ({names})"
+    ).select(*MONTH_KEYS, "column", "type", "rows", "non_null", *_NUMBERS)
 
 
 def store_profiles(df: DataFrame, root: str) -> None:
     """Profile the months in ``df`` and put them in place of what is stored of these months;
     the others are neither read nor written."""
     (
-        month_profiles(df)
-        .coalesce(1)  # a row per month and column
+        month_profiles(df)  # a month's rows come out of one task, so they make one file
         .write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
         .partitionBy(*MONTH_KEYS)

@@ -31,6 +31,21 @@ def remove_folder(spark: SparkSession, path: str) -> None:
     folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
 
 
+#: Bytecode size from which the JVM runs a method without ever compiling it.
+_COMPILED_BYTES = 8000
+
+
+def compile_wide_rows(spark: SparkSession) -> None:
+    """Keep the generated code of wide rows below the size the JVM compiles.
+
+    Whole-stage code of a hundred columns is one method above that size, which is then
+    interpreted for every row. A limit that is already lower stays.
+    """
+    limit = "spark.sql.codegen.hugeMethodLimit"
+    if int(spark.conf.get(limit)) > _COMPILED_BYTES:
+        spark.conf.set(limit, str(_COMPILED_BYTES))
+
+
 @contextmanager
 def scratch_folder(spark: SparkSession) -> Iterator[str]:
     """A folder that all executors share, removed at the end."""

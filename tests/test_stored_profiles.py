@@ -100,3 +100,34 @@ def test_empty_columns_and_no_rows(spark, tmp_path):
     assert (summary["n"]["count"], summary["n"].p50, summary["f"]["count"], summary["f"].p50) == (0, None, 1, 2.0)
     none = stored_profiles.month_profiles(spark.createDataFrame([], schema))
     assert stored_profiles.merged(none).count() == 0
+
+
+def test_cells_are_not_dealt_out_before_they_are_combined(raw):
+    plan = stored_profiles.month_profiles(raw)._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.index("Generate") < plan.index("Aggregate")  # outermost first
+    assert plan.count("Generate") == 1
+
+
+def test_months_are_stored_by_several_tasks_a_file_each(spark, tmp_path):
+    rows = spark.range(2400).selectExpr(
+        "2024 as source_year", "cast(id % 12 + 1 as int) as source_month", "cast(id as double) as v"
+    )
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        stored_profiles.store_profiles(rows, str(tmp_path))
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", "true")
+    files = list(tmp_path.rglob("*.parquet"))
+    assert len(files) == 12 and len({f.name[:10] for f in files}) > 1
+
+
+def test_type_of_not_a_number_and_quoted_names(spark):
+    schema = "source_year int, source_month int, `it's f` double, `a.b` decimal(4,1), d date"
+    rows = [(2024, 1, float("nan"), None, None), (None, 1, -1.0, None, None)]
+    found = stored_profiles.month_profiles(spark.createDataFrame(rows, schema)).collect()
+    assert len(found) == 6
+    cells = {(r.source_year, r.column): (r.type, r.rows, r.non_null, r["count"], r.min) for r in found}
+    assert cells[2024, "it's f"] == ("double", 1, 1, 0, None)
+    assert cells[None, "it's f"] == ("double", 1, 1, 1, -1.0)
+    assert cells[2024, "a.b"] == ("decimal(4,1)", 1, 0, 0, None)
+    assert cells[2024, "d"] == ("date", 1, 0, None, None)
