@@ -13,6 +13,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tarmac.session import compile_wide_rows
 from tarmac.sources.fields import FIELDS
 
 # Invented carriers; airports and the states they lie in.
@@ -202,6 +203,7 @@ def raw_ontime(spark: SparkSession, sf_dir: str, tasks: int | None = None) -> Da
 
     ``tasks`` deals the lines out first, for a file too small to be split.
     """
+    compile_wide_rows(spark)
     fields = field_expressions("weekday(d)+1")
     lines = spark.read.parquet(f"{sf_dir}/lineitem.parquet")
     if tasks:

@@ -8,7 +8,7 @@ from pyspark.sql import types as T
 
 from tarmac.functions.rates import percent
 from tarmac.functions.sqltext import column_name, text_literal
-from tarmac.session import scratch_folder
+from tarmac.session import compile_wide_rows, scratch_folder
 
 
 def shape(df: DataFrame) -> DataFrame:
@@ -64,6 +64,7 @@ QUANTILES = {"p25": 0.25, "p50": 0.5, "p75": 0.75}
 
 def _long_values(df: DataFrame, names: list[str]) -> DataFrame:
     """``(pos, value)`` of every present number; NaN counts as missing."""
+    compile_wide_rows(df.sparkSession)
     numbers = ", ".join(f"cast({column_name(n)} as double)" for n in names)
     cells = F.expr(f"array({numbers})")
     return df.select(F.posexplode(cells).alias("pos", "value")).filter(
