@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from tarmac.functions.casts import iso_date
 from tarmac.functions.keys import flight_id
+from tarmac.session import compile_wide_rows
 from tarmac.sources.fields import DIVERSION_SLOTS
 
 # The outcomes, from the row that decides first to the last.
@@ -64,6 +65,7 @@ def stg_flights(raw: DataFrame) -> DataFrame:
     ``flight_date`` is the date to analyse by; ``source_year`` and
     ``source_month`` only say which file the row came from.
     """
+    compile_wide_rows(raw.sparkSession)
     columns = {
         "flight_id": flight_id(),
         "flight_number": _whole("Flight_Number_Reporting_Airline"),
