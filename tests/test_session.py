@@ -1,11 +1,11 @@
-"""Wide rows in sessions that were not made by ``local_session``."""
+"""Wide rows in sessions that were not made by ``local_session``, and folders of results."""
 
 import pytest
 
 from checks.queries import _as_text
 from checks.substitute import raw_ontime
 from tarmac.operators import profile, staging, stored_profiles
-from tarmac.session import compile_wide_rows
+from tarmac.session import compile_wide_rows, kept_folder
 from tarmac.sources import extracts
 
 LIMIT = "spark.sql.codegen.hugeMethodLimit"
@@ -49,3 +49,21 @@ def test_a_lower_limit_stays(plain):
     plain.conf.set(LIMIT, "4000")
     compile_wide_rows(plain)
     assert plain.conf.get(LIMIT) == "4000"
+
+
+def test_a_kept_folder_goes_with_the_application(spark):
+    with kept_folder(spark) as root:
+        spark.range(3).write.mode("append").parquet(root)
+    assert spark.read.parquet(root).count() == 3
+    folder = spark._jvm.org.apache.hadoop.fs.Path(root)
+    system = folder.getFileSystem(spark._jsc.hadoopConfiguration())
+    assert system.cancelDeleteOnExit(folder)  # true if it was to be removed at the end
+    assert system.deleteOnExit(folder)
+
+
+def test_a_kept_folder_goes_at_once_when_its_result_fails(spark):
+    with pytest.raises(ValueError), kept_folder(spark) as root:
+        spark.range(3).write.mode("append").parquet(root)
+        raise ValueError
+    folder = spark._jvm.org.apache.hadoop.fs.Path(root)
+    assert not folder.getFileSystem(spark._jsc.hadoopConfiguration()).exists(folder)
